@@ -42,7 +42,7 @@ def str_map(**kv: Column | str) -> Column:
 
 def parse_iso_date(c: Column) -> Column:
     """Strict yyyy-MM-dd parse; other text gives null (never an error)."""
-    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, F.lit("yyyy-MM-dd")))
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 def change_ratio(cur: Column, prev: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
@@ -65,12 +65,17 @@ def availability_rules(counts: DataFrame, ts: datetime | str | None = None) -> D
     )
 
 
+def hours_between(start: Column, end: Column) -> Column:
+    """Whole hours from ``start`` to ``end``, truncated (SQL ``timestampdiff(HOUR, …)``)."""
+    return F.timestamp_diff("HOUR", start, end)
+
+
 def snapshot_age(latest: DataFrame, as_of: datetime | str | None) -> DataFrame:
     """``table_name, made_current_at, age_hours`` (whole hours, truncated)."""
     return latest.select(
         "table_name",
         "made_current_at",
-        F.timestampdiff("HOUR", F.col("made_current_at").cast("timestamp"), lit_ts(as_of)).alias("age_hours"),
+        hours_between(F.col("made_current_at").cast("timestamp"), lit_ts(as_of)).alias("age_hours"),
     )
 
 

@@ -57,11 +57,14 @@ def pk_duplicates(
         summary = per_key.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct_keys")
         )
+        # the k most repeated keys (ties by key text), as an ordered array
         top = (
             per_key.where(F.col("n") > 1)
-            .orderBy(F.col("n").desc(), *[F.col(c).asc_nulls_first() for c in key_cols])
+            .select((-F.col("n")).alias("neg_n"), key_text(key_cols).alias("k"))
+            .orderBy("neg_n", "k")
             .limit(examples)
-            .agg(F.collect_list(key_text(key_cols)).alias("examples"))
+            .agg(F.array_sort(F.collect_list(F.struct("neg_n", "k"))).alias("ex"))
+            .select(F.transform("ex", lambda e: e["k"]).alias("examples"))
         )
     else:
         summary = df.agg(
