@@ -35,6 +35,7 @@ from tablepulse.functions.exprs import lit_date, lit_ts, str_map
 from tablepulse.functions.joins import bounded_broadcast
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 from tablepulse.operators.results import metric_rows
+from tablepulse.session import ensure_checkpoint_dir
 from tablepulse.sources.cuts import latest_cuts
 
 
@@ -67,23 +68,82 @@ def long_values(df: DataFrame, table_name: str, partitioning: Partitioning | str
     )
 
 
+def day_values(df: DataFrame, table_name: str, partitioning: Partitioning | str, columns: Sequence[str]) -> DataFrame:
+    """Like :func:`long_values` but keyed by ``day`` (DATE): cheap to shift, join and group.
+
+    Day grain takes the date of the timestamp; a value-grain key is read as
+    an ISO date (other text gives null and is left out).
+    """
+    p = as_partitioning(partitioning)
+    day = F.to_date(F.col(p.column)) if p.grain == "day" else F.col(p.column).cast("string").cast("date")
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.expr(f"try_cast(`{c}` AS DOUBLE)").alias("value"))
+            for c in columns
+        ]
+    )
+    x = df.select(day.alias("day"), F.inline(pairs)).where(F.col("day").isNotNull())
+    return x.select(
+        F.lit(table_name).alias("table_name"),
+        "column_name",
+        "day",
+        F.when(~F.isnan("value"), F.col("value")).alias("value"),
+    )
+
+
+def _key(values: DataFrame) -> str:
+    return "day" if "day" in values.columns else "partition_value"
+
+
 def compute_cuts(values: DataFrame, bins: int = S.DRIFT_BINS, accuracy: int = S.QUANTILE_ACCURACY) -> DataFrame:
     """``table_name, column_name, partition_value, cuts``: quantiles i/bins for i = 1..bins-1.
 
-    Groups with no non-null value give no row (no reference).
+    ``values`` is keyed by ``partition_value`` or ``day``. Groups with no
+    non-null value give no row (no reference).
     """
     probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    return (
+    key = _key(values)
+    out = (
         values.where(F.col("value").isNotNull())
-        .groupBy("table_name", "column_name", "partition_value")
+        .groupBy("table_name", "column_name", key)
         .agg(F.percentile_approx("value", probs, accuracy).alias("cuts"))
     )
+    if key == "day":
+        out = out.select("table_name", "column_name", F.date_format("day", "yyyy-MM-dd").alias("partition_value"), "cuts")
+    return out
 
 
-def bucket_of(value: Column, cuts: Column, null_bucket: str = "own") -> Column:
-    """Number of cuts strictly below ``value``; nulls in their own (or the top) bucket."""
+def bucket_of(value: Column, cuts: Column, null_bucket: str = "own", max_cuts: int | None = None) -> Column:
+    """Number of cuts strictly below ``value``; nulls in their own (or the top) bucket.
+
+    With ``max_cuts`` known the count is unrolled into ``max_cuts``
+    comparisons (``get`` is null past the end), which stays inside whole-stage
+    codegen; otherwise a ``filter`` lambda is used.
+    """
     null_idx = F.size(cuts) + (1 if null_bucket == "own" else 0)
-    return F.when(value.isNull(), null_idx).otherwise(F.size(F.filter(cuts, lambda c: value > c)))
+    if max_cuts is None:
+        below = F.size(F.filter(cuts, lambda c: value > c))
+    elif max_cuts == 0:
+        below = F.lit(0)
+    else:
+        terms = [F.when(value > F.get(cuts, i), 1).otherwise(0) for i in range(max_cuts)]
+        below = terms[0]
+        for t in terms[1:]:
+            below = below + t
+    return F.when(value.isNull(), null_idx).otherwise(below)
+
+
+def materialize_cuts(cuts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Checkpoint the (small) cuts table; return it with its row count and longest cut list.
+
+    The count is the checked size bound that decides the broadcast; the
+    reliable checkpoint (in ``spark.checkpoint.dir``) means the cuts are
+    computed once and survive executor loss.
+    """
+    ensure_checkpoint_dir(cuts.sparkSession)
+    c = cuts.checkpoint(eager=True)
+    row = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("cuts")).alias("m")).first()
+    return c, int(row["n"] or 0), int(row["m"] or 0)
 
 
 def _shift_day(day: Column, days: int) -> Column:
@@ -97,6 +157,7 @@ def histograms(
     current: Sequence[str] | None = None,
     null_bucket: str = "own",
     cuts_rows: int | None = None,
+    max_cuts: int | None = None,
 ) -> DataFrame:
     """Bucket counts ``table_name, column_name, cut_partition, partition_value, bucket, rows, share``.
 
@@ -104,31 +165,42 @@ def histograms(
     counted under their own cuts (reference role) and under the cuts of the
     days ``references`` before it (current role). With ``current`` given,
     only those days take the current role and only their reference days the
-    reference role.
+    reference role. Days are DATE values inside; text only in the result.
     """
-    day = F.col("partition_value")
-    shifted = [_shift_day(day, r.days) for r in references]
+    if "day" not in values.columns:
+        values = values.withColumn("day", F.col("partition_value").cast("date"))
+    day = F.col("day")
+    shifted = [F.date_sub(day, r.days) for r in references]
     if current is None:
         cut_days = F.array(day, *shifted)
     else:
-        cur = F.array(*[F.lit(c) for c in current])
-        refs = F.array(*[F.lit(d) for d in _reference_days(current, references)])
+        cur = F.array(*[F.lit(c).cast("date") for c in current])
+        refs = F.array(*[F.lit(d).cast("date") for d in _reference_days(current, references)])
+        none = F.array().cast("array<date>")
         cut_days = F.concat(
-            F.when(F.array_contains(refs, day), F.array(day)).otherwise(F.array().cast("array<string>")),
-            F.when(F.array_contains(cur, day), F.array(*shifted)).otherwise(F.array().cast("array<string>")),
+            F.when(F.array_contains(refs, day), F.array(day)).otherwise(none),
+            F.when(F.array_contains(cur, day), F.array(*shifted)).otherwise(none),
         )
-    exploded = values.select("*", F.explode(cut_days).alias("cut_partition"))
+    exploded = values.select("table_name", "column_name", "day", "value", F.explode(cut_days).alias("cut_day"))
     c = cuts.select(
         "table_name",
         "column_name",
-        F.col("partition_value").alias("cut_partition"),
+        F.col("partition_value").cast("date").alias("cut_day"),
         F.array_sort("cuts").alias("cuts"),
     )
-    j = exploded.join(bounded_broadcast(c, cuts_rows), ["table_name", "column_name", "cut_partition"], "inner")
-    counted = j.groupBy("table_name", "column_name", "cut_partition", "partition_value", bucket_of(
-        F.col("value"), F.col("cuts"), null_bucket).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"))
-    w = Window.partitionBy("table_name", "column_name", "cut_partition", "partition_value")
-    return counted.withColumn("share", F.col("rows") / F.sum("rows").over(w))
+    j = exploded.join(bounded_broadcast(c, cuts_rows), ["table_name", "column_name", "cut_day"], "inner")
+    bucket = bucket_of(F.col("value"), F.col("cuts"), null_bucket, max_cuts).alias("bucket")
+    counted = j.groupBy("table_name", "column_name", "cut_day", "day", bucket).agg(F.count(F.lit(1)).alias("rows"))
+    w = Window.partitionBy("table_name", "column_name", "cut_day", "day")
+    return counted.select(
+        "table_name",
+        "column_name",
+        F.date_format("cut_day", "yyyy-MM-dd").alias("cut_partition"),
+        F.date_format("day", "yyyy-MM-dd").alias("partition_value"),
+        "bucket",
+        "rows",
+        (F.col("rows") / F.sum("rows").over(w)).alias("share"),
+    )
 
 
 def _reference_days(current: Sequence[str], references: Sequence[Reference]) -> list[str]:
@@ -207,18 +279,25 @@ def resolve_cuts(
     bins: int = S.DRIFT_BINS,
     accuracy: int = S.QUANTILE_ACCURACY,
     max_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(cuts to use, newly computed cuts to save). Saved cuts win; cuts are computed only where missing."""
-    src = values if days is None else values.where(F.col("partition_value").isin(list(days)))
+) -> DataFrame:
+    """Cuts to use, with ``is_new`` marking computed ones. Saved cuts win; cuts are computed only where missing."""
+    key = _key(values)
+    if days is None:
+        src = values
+    else:
+        lits = [F.lit(d).cast("date") for d in days] if key == "day" else [F.lit(d) for d in days]
+        src = values.where(F.col(key).isin(*lits))
     if saved is None:
-        new = compute_cuts(src, bins, accuracy)
-        return new, new
+        return compute_cuts(src, bins, accuracy).withColumn("is_new", F.lit(True))
     have = latest_cuts(saved).select("table_name", "column_name", "partition_value", "cuts")
-    keys = ["table_name", "column_name", "partition_value"]
-    missing = src.join(bounded_broadcast(have.select(*keys), max_rows), keys, "left_anti")
+    if days is not None:
+        have = have.where(F.col("partition_value").isin(list(days)))
+    have_keys = have.select(
+        "table_name", "column_name", (F.col("partition_value").cast("date") if key == "day" else F.col("partition_value")).alias(key)
+    )
+    missing = src.join(bounded_broadcast(have_keys, max_rows), ["table_name", "column_name", key], "left_anti")
     new = compute_cuts(missing, bins, accuracy)
-    have_used = have if days is None else have.where(F.col("partition_value").isin(list(days)))
-    return have_used.unionByName(new), new
+    return have.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
 
 
 def drift(
@@ -273,9 +352,10 @@ def drift_with_cuts(
         bound = len(columns) * len(ref_days)
     else:
         ref_days, src, bound = None, df, None
-    values = long_values(src, table_name, p, columns)
-    cuts, new_cuts = resolve_cuts(values, ref_days, saved_cuts, bins, accuracy, bound)
-    hist = histograms(values, cuts, references, current, null_bucket, bound)
+    values = day_values(src, table_name, p, columns)
+    cuts, n_cuts, max_cuts = materialize_cuts(resolve_cuts(values, ref_days, saved_cuts, bins, accuracy, bound))
+    new_cuts = cuts.where("is_new")
+    hist = histograms(values, cuts, references, current, null_bucket, n_cuts, max_cuts)
     scores = psi_scores(hist, references)
     out = scores.select(
         "table_name",
@@ -316,8 +396,13 @@ def reference_missing(
     wanted = spark.createDataFrame(
         [(table_name, c, d) for c in columns for d in ref_days], "table_name string, column_name string, partition_value string"
     )
-    present = compute_cuts(long_values(df.where(p.where_in(df, ref_days)), table_name, p, columns), 2, 100).select(
-        "table_name", "column_name", "partition_value"
+    keys = ["table_name", "column_name", "partition_value"]
+    present = (
+        long_values(df.where(p.where_in(df, ref_days)), table_name, p, columns)
+        .where(F.col("value").isNotNull())
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys)
     )
     missing = wanted.join(present, ["table_name", "column_name", "partition_value"], "left_anti")
     return metric_rows(

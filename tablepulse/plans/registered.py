@@ -17,7 +17,15 @@ from tablepulse.functions.partitioning import Partitioning
 from tablepulse.operators import availability as A
 from tablepulse.operators import dispatch as D
 from tablepulse.operators.averages import average_change
-from tablepulse.operators.drift import compute_cuts, drift, drift_with_cuts, histograms, long_values, psi_scores
+from tablepulse.operators.drift import (
+    compute_cuts,
+    drift,
+    drift_with_cuts,
+    histograms,
+    long_values,
+    materialize_cuts,
+    psi_scores,
+)
 from tablepulse.operators.nulls import null_ratio_by_partition, segment_nulls
 from tablepulse.operators.policy import evaluate, events_from_results
 from tablepulse.operators.rowcounts import row_count_change_by_date, row_count_changes
@@ -294,13 +302,15 @@ def q_reference_cuts(spark, sf):
 
 def q_histogram_shares(spark, sf):
     vals = long_values(demo.read(spark, sf, "events"), "events", DAY, ["value"])
-    h = histograms(vals, compute_cuts(vals))
+    cuts, n, m = materialize_cuts(compute_cuts(vals))
+    h = histograms(vals, cuts, cuts_rows=n, max_cuts=m)
     return h.select("table_name", "column_name", "cut_partition", "partition_value", "bucket", "rows", _r6("share"))
 
 
 def q_psi_score(spark, sf):
     vals = long_values(demo.read(spark, sf, "events"), "events", DAY, ["value", "user_id"])
-    s = psi_scores(histograms(vals, compute_cuts(vals)))
+    cuts, n, m = materialize_cuts(compute_cuts(vals))
+    s = psi_scores(histograms(vals, cuts, cuts_rows=n, max_cuts=m))
     return s.select("table_name", "column_name", "partition_value", "reference_partition", "ref_name", _r6("score"))
 
 

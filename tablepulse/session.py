@@ -21,6 +21,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # quantile sketches grow with the values a task inserts, so keeping many small
+        # (day, column) groups hash-aggregated costs no more memory than the task's input
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .getOrCreate()
     )
 
