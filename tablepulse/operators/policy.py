@@ -88,7 +88,7 @@ def evaluate(events: DataFrame, rules: DataFrame | None = None, max_rule_rows: i
     r = resolve_rules(events, rules, max_rule_rows)
     b = F.col("behavior")
     key = F.element_at(F.create_map(*[F.lit(x) for kv in S.EVENT_METRIC.items() for x in kv]), b)
-    raw = F.col("metrics").getItem(key)
+    raw = F.col("metrics")[key]
     nan = F.lit(float("nan"))
     val = F.coalesce(raw, nan)
     avail = F.coalesce(raw, F.lit(1.0))
