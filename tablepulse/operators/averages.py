@@ -39,7 +39,16 @@ def average_change(
     no row.
     """
     p = as_partitioning(partitioning)
-    avgs = partition_averages(df, table_name, p, columns)
+    return average_change_metrics(partition_averages(df, table_name, p, columns), p.column, as_of, last)
+
+
+def average_change_metrics(
+    avgs: DataFrame, partition_key: str | None = None, as_of: date | datetime | str | None = None, last: int | None = None
+) -> DataFrame:
+    """``average_change`` metrics from ``table_name, partition_value, column_name, average`` rows.
+
+    The window holds one column's partition list (one row per partition).
+    """
     w = Window.partitionBy("table_name", "column_name").orderBy("partition_value")
     x = avgs.withColumn("prev", F.lag("average", 1).over(w))
     if last is not None:
@@ -50,7 +59,7 @@ def average_change(
         column=F.col("column_name"),
         average=F.col("average").cast("string"),
         previous_average=F.col("prev").cast("string"),
-        partitionKey=p.column,
+        **({"partitionKey": partition_key} if partition_key is not None else {}),
     )
     return metric_rows(
         x,

@@ -42,11 +42,16 @@ def null_ratio_by_partition(
     """Metric ``null_ratio`` = null_count / record_count per (partition, column)."""
     p = as_partitioning(partitioning)
     long = null_counts_by_partition(df, table_name, p, columns)
+    return null_ratio_metrics(long, p.column if p is not None else None, as_of)
+
+
+def null_ratio_metrics(long: DataFrame, partition_key: str | None = None, as_of: date | datetime | str | None = None) -> DataFrame:
+    """``null_ratio`` metrics from the long counts ``table_name, partition_value, record_count, column_name, null_count``."""
     details = str_map(
         column=F.col("column_name"),
         null_count=F.col("null_count").cast("string"),
         record_count=F.col("record_count").cast("string"),
-        **({"partitionKey": p.column} if p is not None else {}),
+        **({"partitionKey": partition_key} if partition_key is not None else {}),
     )
     return metric_rows(
         long,

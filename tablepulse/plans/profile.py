@@ -1,8 +1,10 @@
 """Profile runs over several tables and the partition tables built from them.
 
-A run is one lazy plan per result kind: each table contributes frames that
-are ``unionByName``-ed, so Spark schedules all tables together and the
-partition statistics of a table are computed once per plan (exchange reuse).
+A run is one plan per result kind: each table contributes frames that are
+``unionByName``-ed, so Spark schedules all tables together. The per-table
+partition aggregate (counts, null counts, averages, newest time) is
+computed by one scan and checkpointed when the run is built; the checks
+read that small frame.
 """
 
 from __future__ import annotations
@@ -17,12 +19,19 @@ from pyspark.sql import functions as F
 from tablepulse import schemas as S
 from tablepulse.functions.partitioning import Partitioning
 from tablepulse.operators import availability as A
-from tablepulse.operators.averages import average_change, partition_averages
+from tablepulse.operators.averages import average_change, average_change_metrics, partition_averages
 from tablepulse.operators.drift import drift_with_cuts, reference_missing
-from tablepulse.operators.nulls import null_counts_by_partition, null_ratio_by_partition, segment_nulls
+from tablepulse.operators.nulls import (
+    null_counts_by_partition,
+    null_ratio_by_partition,
+    null_ratio_metrics,
+    segment_nulls,
+)
+from tablepulse.operators.partition_profile import averages_of, history_of, null_counts_of, partition_profile, stats_of
 from tablepulse.operators.rowcounts import row_count_changes
 from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import pk_duplicates
+from tablepulse.session import ensure_checkpoint_dir
 from tablepulse.sources.stats import history_from_column, partition_stats
 
 MODES = ("availability", "rules", "drift", "all")
@@ -123,27 +132,58 @@ def run_profile(
     drifts: list[DataFrame] = []
     cuts: list[DataFrame] = []
     do = lambda m: mode in (m, "all")
+
+    # One partition aggregate per table feeds counts, null ratios, averages and
+    # history. It is small (one row per partition) and is checkpointed to the
+    # session's checkpoint folder so that every check reads it instead of
+    # rescanning the table (per-branch column pruning would defeat exchange reuse).
+    profiles: dict[str, DataFrame] = {}
+    if any(t.partitioning is not None and t.stats is None for t in tables):
+        ensure_checkpoint_dir(spark)
+    for t in tables:
+        if t.partitioning is not None and t.stats is None:
+            profiles[t.name] = partition_profile(
+                t.df,
+                t.name,
+                t.partitioning,
+                t.null_columns if do("rules") else (),
+                t.average_columns if do("rules") else (),
+                t.time_column if do("availability") and t.history is None else None,
+            ).checkpoint(eager=True)
+
+    def stats(t: TableSpec) -> DataFrame | None:
+        return stats_of(profiles[t.name]) if t.name in profiles else t.stats
+
+    def history(t: TableSpec) -> DataFrame | None:
+        if t.history is not None:
+            return t.history
+        if not t.time_column:
+            return None
+        if t.name in profiles:
+            return history_of(profiles[t.name])
+        return history_from_column(t.df, t.name, t.time_column)
+
     if do("availability"):
-        exp = {t.name: list(t.expected) for t in tables if t.expected and table_stats(t) is not None}
+        exp = {t.name: list(t.expected) for t in tables if t.expected and stats(t) is not None}
         if exp:
             expected = A.expected_partitions(spark, exp)
             n_exp = sum(len(v) for v in exp.values())
             for t in tables:
                 if t.name in exp:
-                    counts = A.partition_counts(table_stats(t), expected.where(F.col("table_name") == t.name), n_exp)
+                    counts = A.partition_counts(stats(t), expected.where(F.col("table_name") == t.name), n_exp)
                     pk = t.partitioning.column if t.partitioning else None
                     metrics.append(A.availability_metrics(counts, pk, as_of))
                     rules.append(A.availability_rules(counts, run_ts))
         for t in tables:
-            st = table_stats(t) if t.row_counts else None
+            st = stats(t) if t.row_counts else None
             if st is not None:
                 metrics.append(row_count_changes(st, t.partitioning.column if t.partitioning else None, as_of=as_of))
-        hist = [t.history if t.history is not None else history_from_column(t.df, t.name, t.time_column)
-                for t in tables if t.history is not None or t.time_column]
+        hist = [(t.name, history(t)) for t in tables]
+        hist = [(n, h) for n, h in hist if h is not None]
         if hist:
-            h = _union(spark, hist, S.HISTORY)
+            h = _union(spark, [x for _, x in hist], S.HISTORY)
             metrics.append(A.freshness_metrics(h, as_of))
-            names = [t.name for t in tables if t.history is not None or t.time_column]
+            names = [n for n, _ in hist]
             rules.append(A.freshness_rules(A.table_list(spark, names), h, as_of, sla_hours, run_ts, len(names)))
     if do("rules"):
         for t in tables:
@@ -155,10 +195,17 @@ def run_profile(
                 rules.append(pk_duplicates(checked, t.key_cols, t.name, method=dup_method, ts=run_ts))
             if t.segment_column:
                 rules.append(segment_nulls(checked, t.segment_column, t.segment_dims, null_threshold, t.name, run_ts))
+            pk = t.partitioning.column if t.partitioning else None
             if t.null_columns:
-                metrics.append(null_ratio_by_partition(t.df, t.name, t.partitioning, t.null_columns, as_of))
+                if t.name in profiles:
+                    metrics.append(null_ratio_metrics(null_counts_of(profiles[t.name], t.null_columns), pk, as_of))
+                else:
+                    metrics.append(null_ratio_by_partition(t.df, t.name, t.partitioning, t.null_columns, as_of))
             if t.average_columns and t.partitioning is not None:
-                metrics.append(average_change(t.df, t.name, t.partitioning, t.average_columns, as_of))
+                if t.name in profiles:
+                    metrics.append(average_change_metrics(averages_of(profiles[t.name], t.average_columns), pk, as_of))
+                else:
+                    metrics.append(average_change(t.df, t.name, t.partitioning, t.average_columns, as_of))
     if do("drift"):
         for t in tables:
             if t.drift_columns and t.partitioning is not None:
