@@ -526,3 +526,8 @@ SQL["run_all"] = (
     + " "
     + FINDINGS.format("(SELECT * FROM av UNION ALL SELECT * FROM ru UNION ALL SELECT * FROM dr)")
 )
+
+SQL["stream_partition_stats"] = """SELECT 'events' AS table_name, strftime(ts, '%Y-%m-%d') AS partition_value,
+    count(*)::BIGINT AS record_count, count(*) FILTER (WHERE value IS NULL)::BIGINT AS null_count,
+    round(avg(value), 6) AS average, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_ts
+  FROM events GROUP BY 1, 2"""

@@ -636,3 +636,25 @@ QUERIES: dict[str, Query] = {
     "store_partition_status": q_store_partition_status,
     "store_partition_stats": q_store_partition_stats,
 }
+
+
+# ---------------------------------------------------------------- streaming
+def q_stream_partition_stats(spark, sf):
+    """Events land in 8 files (3 per micro-batch); a stream keeps per-day statistics, the table is read back."""
+    from tablepulse.streaming.incremental import running_partition_stats, start_stats_stream, stream_files
+
+    ev = demo.read(spark, sf, "events")
+    landing = work_path(spark, "landing")
+    ev.repartition(8).write.parquet(landing)  # every day spread over all files
+    stream = stream_files(spark, landing, ev.schema, max_files_per_trigger=3)
+    stats = running_partition_stats(stream, "events", DAY, ["value"], ["value"], "ts")
+    fqn, path = _new_table(spark, "streamstats")
+    q = start_stats_stream(stats, fqn, path, work_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return spark.table(fqn).select(
+        "table_name", "partition_value", "record_count", F.col("null_value").alias("null_count"),
+        F.round(F.col("sum_value") / F.col("count_value"), 6).alias("average"), _txt_ts("max_ts"),
+    )
+
+
+QUERIES["stream_partition_stats"] = q_stream_partition_stats
