@@ -165,40 +165,55 @@ def histograms(
     counted under their own cuts (reference role) and under the cuts of the
     days ``references`` before it (current role). With ``current`` given,
     only those days take the current role and only their reference days the
-    reference role. Days are DATE values inside; text only in the result.
+    reference role.
+
+    Each value row looks up its own and its earlier days' cuts (broadcast
+    lookups of the small cuts table) and gets one bucket per role, so the
+    large aggregation sees every value once; its groups are bucket
+    combinations per (column, day). The small result is then split into one
+    row per (cut day, bucket). Days are DATE values inside; text only in
+    the result.
     """
     if "day" not in values.columns:
         values = values.withColumn("day", F.col("partition_value").cast("date"))
     day = F.col("day")
-    shifted = [F.date_sub(day, r.days) for r in references]
-    if current is None:
-        cut_days = F.array(day, *shifted)
-    else:
-        cur = F.array(*[F.lit(c).cast("date") for c in current])
-        refs = F.array(*[F.lit(d).cast("date") for d in _reference_days(current, references)])
-        none = F.array().cast("array<date>")
-        cut_days = F.concat(
-            F.when(F.array_contains(refs, day), F.array(day)).otherwise(none),
-            F.when(F.array_contains(cur, day), F.array(*shifted)).otherwise(none),
-        )
-    exploded = values.select("table_name", "column_name", "day", "value", F.explode(cut_days).alias("cut_day"))
+    roles = [("self", 0)] + [(f"r{i}", r.days) for i, r in enumerate(references)]
     c = cuts.select(
         "table_name",
         "column_name",
         F.col("partition_value").cast("date").alias("cut_day"),
         F.array_sort("cuts").alias("cuts"),
     )
-    j = exploded.join(bounded_broadcast(c, cuts_rows), ["table_name", "column_name", "cut_day"], "inner")
-    bucket = bucket_of(F.col("value"), F.col("cuts"), null_bucket, max_cuts).alias("bucket")
-    counted = j.groupBy("table_name", "column_name", "cut_day", "day", bucket).agg(F.count(F.lit(1)).alias("rows"))
+    c = bounded_broadcast(c, cuts_rows)
+    if current is not None:
+        cur = F.array(*[F.lit(x).cast("date") for x in current])
+        refs = F.array(*[F.lit(d).cast("date") for d in _reference_days(current, references)])
+    x = values.select("table_name", "column_name", "day", "value")
+    buckets = []
+    for name, k in roles:
+        look = c.select(
+            "table_name", "column_name", F.col("cut_day").alias(f"d_{name}"), F.col("cuts").alias(f"c_{name}")
+        )
+        x = x.withColumn(f"d_{name}", F.date_sub(day, k)).join(look, ["table_name", "column_name", f"d_{name}"], "left")
+        b = bucket_of(F.col("value"), F.col(f"c_{name}"), null_bucket, max_cuts)
+        applies = F.col(f"c_{name}").isNotNull()
+        if current is not None:
+            applies = applies & F.array_contains(refs if name == "self" else cur, day)
+        buckets.append(F.when(applies, b).alias(f"b_{name}"))
+    combos = x.groupBy("table_name", "column_name", "day", *buckets).agg(F.count(F.lit(1)).alias("n"))
+    split = F.array(
+        *[F.struct(F.date_sub(day, k).alias("cut_day"), F.col(f"b_{name}").alias("bucket")) for name, k in roles]
+    )
+    long = combos.select("table_name", "column_name", "day", "n", F.inline(split)).where(F.col("bucket").isNotNull())
+    counted = long.groupBy("table_name", "column_name", "cut_day", "day", "bucket").agg(F.sum("n").alias("rows"))
     w = Window.partitionBy("table_name", "column_name", "cut_day", "day")
     return counted.select(
         "table_name",
         "column_name",
         F.date_format("cut_day", "yyyy-MM-dd").alias("cut_partition"),
         F.date_format("day", "yyyy-MM-dd").alias("partition_value"),
-        "bucket",
-        "rows",
+        F.col("bucket").cast("int").alias("bucket"),
+        F.col("rows").cast("long").alias("rows"),
         (F.col("rows") / F.sum("rows").over(w)).alias("share"),
     )
 
