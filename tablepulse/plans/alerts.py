@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from tablepulse.operators.dispatch import Channel, audit_rows, messages
 from tablepulse.operators.policy import evaluate, events_from_results
 from tablepulse.plans.profile import Profile
+from tablepulse.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -28,7 +29,12 @@ def run_alerts(
     max_rule_rows: int | None = None,
     dedup: bool = True,
 ) -> AlertRun:
-    """The alert path over a profile's results, as lazy DataFrames (the caller writes or sends them)."""
+    """The alert path over a profile's results (the caller writes or sends the frames).
+
+    Decisions (one per event: partitions x checks, not rows) are checkpointed
+    once, so messages and audit rows read the same decided alerts.
+    """
     ev = events_from_results(profile.metrics, profile.drift, run_ts)
-    dec = evaluate(ev, rules, max_rule_rows)
+    ensure_checkpoint_dir(ev.sparkSession)
+    dec = evaluate(ev, rules, max_rule_rows).checkpoint(eager=True)
     return AlertRun(ev, dec, messages(dec, channel, dedup=dedup, cap=True), audit_rows(dec, channel.level))

@@ -531,3 +531,11 @@ SQL["stream_partition_stats"] = """SELECT 'events' AS table_name, strftime(ts, '
     count(*)::BIGINT AS record_count, count(*) FILTER (WHERE value IS NULL)::BIGINT AS null_count,
     round(avg(value), 6) AS average, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS max_ts
   FROM events GROUP BY 1, 2"""
+
+SQL["store_partition_info"] = f"""WITH {AVGS}, cnt AS (
+    SELECT 'events' AS table_name, strftime(ts, '%Y-%m-%d') AS partition_value, count(*)::BIGINT AS rows FROM events GROUP BY 1, 2
+    UNION ALL SELECT 'orders', strftime(o_orderdate, '%Y-%m'), count(*)::BIGINT FROM orders GROUP BY 1, 2
+    UNION ALL SELECT 'lineitem', strftime(l_shipdate, '%Y-%m'), count(*)::BIGINT FROM lineitem GROUP BY 1, 2)
+  SELECT a.table_name, a.partition_value, c.rows, a.column_name, round(a.average, 6) AS average
+  FROM avg_long a JOIN cnt c ON c.table_name = a.table_name AND c.partition_value = a.partition_value"""
+SQL["store_alerts"] = f"WITH {DECISIONS} {FLAT_DEC} WHERE status = 'sent'"

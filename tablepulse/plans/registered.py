@@ -33,7 +33,7 @@ from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import duplicate_keys, pk_duplicates
 from tablepulse.plans import demo
 from tablepulse.plans.alerts import run_alerts
-from tablepulse.plans.profile import Profile, partition_null_stats, partition_status, run_profile
+from tablepulse.plans.profile import Profile, partition_info, partition_null_stats, partition_status, run_profile
 from tablepulse.sinks import storage as K
 from tablepulse.sinks import writer as W
 from tablepulse.session import work_path
@@ -558,6 +558,14 @@ def q_store_partition_stats(spark, sf):
     return partition_null_stats(spark, demo.tables(spark, sf))
 
 
+def q_store_partition_info(spark, sf):
+    return partition_info(spark, demo.tables(spark, sf)).withColumn("average", F.round("average", 6))
+
+
+def q_store_alerts(spark, sf):
+    return flat_decisions(_decisions(spark, sf).where(F.col("status") == S.STATUS_SENT))
+
+
 QUERIES: dict[str, Query] = {
     "scan_partitions": q_scan_partitions,
     "scan_reference_day": q_scan_reference_day,
@@ -635,6 +643,8 @@ QUERIES: dict[str, Query] = {
     "run_alerts": q_run_alerts,
     "store_partition_status": q_store_partition_status,
     "store_partition_stats": q_store_partition_stats,
+    "store_partition_info": q_store_partition_info,
+    "store_alerts": q_store_alerts,
 }
 
 

@@ -80,3 +80,11 @@ def test_write_telemetry_counts_rows(spark):
     fqn, path = f"tel_{uuid.uuid4().hex[:8]}", work_path(spark, "tel")
     t = W.write_with_telemetry(spark, fqn, spark.range(7), path=path).first()
     assert (t["status"], t["rows"]) == ("success", 7)
+
+
+def test_global_sequence_is_consecutive_across_partitions(spark):
+    from tablepulse.functions.sequence import with_sequence
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(7)
+    out = with_sequence(df, [F.col("k")], "seq").collect()
+    assert sorted((r["seq"], r["k"]) for r in out) == [(i, i) for i in range(1000)]
