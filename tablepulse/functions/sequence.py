@@ -16,15 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablepulse.session import ensure_checkpoint_dir
+from tablepulse.session import checkpointed
 
 
 def with_sequence(df: DataFrame, order: Sequence[Column], name: str = "seq") -> DataFrame:
     """Add ``name`` = 0-based position of each row in ``order`` (a total order)."""
-    ensure_checkpoint_dir(df.sparkSession)
     ordered = (
-        df.orderBy(*order)
-        .checkpoint(eager=True)
+        checkpointed(df.orderBy(*order))
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )

@@ -35,7 +35,7 @@ from tablepulse.functions.exprs import lit_date, lit_ts, str_map
 from tablepulse.functions.joins import bounded_broadcast
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 from tablepulse.operators.results import metric_rows
-from tablepulse.session import ensure_checkpoint_dir
+from tablepulse.session import checkpointed
 from tablepulse.sources.cuts import latest_cuts
 
 
@@ -140,8 +140,7 @@ def materialize_cuts(cuts: DataFrame) -> tuple[DataFrame, int, int]:
     reliable checkpoint (in ``spark.checkpoint.dir``) means the cuts are
     computed once and survive executor loss.
     """
-    ensure_checkpoint_dir(cuts.sparkSession)
-    c = cuts.checkpoint(eager=True)
+    c = checkpointed(cuts)
     row = c.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("cuts")).alias("m")).first()
     return c, int(row["n"] or 0), int(row["m"] or 0)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tablepulse.operators.dispatch import Channel, audit_rows, messages
 from tablepulse.operators.policy import evaluate, events_from_results
 from tablepulse.plans.profile import Profile
-from tablepulse.session import ensure_checkpoint_dir
+from tablepulse.session import checkpointed
 
 
 @dataclass
@@ -35,6 +35,5 @@ def run_alerts(
     once, so messages and audit rows read the same decided alerts.
     """
     ev = events_from_results(profile.metrics, profile.drift, run_ts)
-    ensure_checkpoint_dir(ev.sparkSession)
-    dec = evaluate(ev, rules, max_rule_rows).checkpoint(eager=True)
+    dec = checkpointed(evaluate(ev, rules, max_rule_rows))
     return AlertRun(ev, dec, messages(dec, channel, dedup=dedup, cap=True), audit_rows(dec, channel.level))

@@ -31,7 +31,7 @@ from tablepulse.operators.partition_profile import averages_of, history_of, null
 from tablepulse.operators.rowcounts import row_count_changes
 from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import pk_duplicates
-from tablepulse.session import ensure_checkpoint_dir
+from tablepulse.session import checkpointed
 from tablepulse.sources.stats import history_from_column, partition_stats
 
 MODES = ("availability", "rules", "drift", "all")
@@ -138,18 +138,16 @@ def run_profile(
     # session's checkpoint folder so that every check reads it instead of
     # rescanning the table (per-branch column pruning would defeat exchange reuse).
     profiles: dict[str, DataFrame] = {}
-    if any(t.partitioning is not None and t.stats is None for t in tables):
-        ensure_checkpoint_dir(spark)
     for t in tables:
         if t.partitioning is not None and t.stats is None:
-            profiles[t.name] = partition_profile(
+            profiles[t.name] = checkpointed(partition_profile(
                 t.df,
                 t.name,
                 t.partitioning,
                 t.null_columns if do("rules") else (),
                 t.average_columns if do("rules") else (),
                 t.time_column if do("availability") and t.history is None else None,
-            ).checkpoint(eager=True)
+            ))
 
     def stats(t: TableSpec) -> DataFrame | None:
         return stats_of(profiles[t.name]) if t.name in profiles else t.stats

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tablepulse") -> SparkSession:
@@ -60,4 +60,18 @@ def local_path(uri: str) -> str:
     return uri[len("file:"):] if uri.startswith("file:") else uri
 
 
-__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "work_path", "local_path"]
+__all__ = ["build_session", "checkpoint_dir", "checkpointed", "ensure_checkpoint_dir", "work_path", "local_path"]
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (in the session's checkpoint folder) that computes ``df`` once.
+
+    The frame is cached while the checkpoint files are written, so the
+    checkpoint job reads the cache instead of recomputing; afterwards reads
+    come from the checkpoint files, which survive the loss of executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
