@@ -7,6 +7,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lit_ts(ts: datetime | str | None) -> Column:
@@ -17,7 +18,15 @@ def lit_ts(ts: datetime | str | None) -> Column:
         ts = datetime.fromisoformat(ts.replace("Z", "+00:00"))
     if ts.tzinfo is None:
         ts = ts.replace(tzinfo=timezone.utc)
-    return F.lit(ts.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    # explicit zone suffix: the instant does not depend on the session time zone
+    return F.lit(ts.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ")).cast("timestamp")
+
+
+def as_instant(c: Column, dtype: T.DataType) -> Column:
+    """A TIMESTAMP instant; zone-less (NTZ) wall-clock values are read as UTC."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.concat(c.cast("string"), F.lit("Z")).cast("timestamp")
+    return c.cast("timestamp")
 
 
 def lit_date(d: date | datetime | str | None) -> Column:

@@ -66,8 +66,12 @@ def availability_rules(counts: DataFrame, ts: datetime | str | None = None) -> D
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    """Whole hours from ``start`` to ``end``, truncated (SQL ``timestampdiff(HOUR, …)``)."""
-    return F.timestamp_diff("HOUR", start, end)
+    """Whole elapsed hours from ``start`` to ``end``, truncated toward zero.
+
+    Counted on the instants (epoch microseconds), so daylight-saving changes
+    of the session time zone never add or remove an hour.
+    """
+    return ((F.unix_micros(end) - F.unix_micros(start)) / 3_600_000_000).cast("long")
 
 
 def snapshot_age(latest: DataFrame, as_of: datetime | str | None) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablepulse.functions.exprs import as_instant
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 
 
@@ -32,7 +33,7 @@ def partition_profile(
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(null_columns)]
     aggs += [F.avg(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(average_columns)]
     if time_column:
-        aggs.append(F.max(F.col(time_column).cast("timestamp")).alias("max_ts"))
+        aggs.append(F.max(F.col(time_column)).alias("max_ts"))
     return df.groupBy(p.value().alias("partition_value")).agg(*aggs).withColumn("table_name", F.lit(table_name))
 
 
@@ -52,4 +53,5 @@ def averages_of(pp: DataFrame, average_columns: Sequence[str]) -> DataFrame:
 
 def history_of(pp: DataFrame) -> DataFrame:
     """``table_name, made_current_at``: the newest time value over all partitions."""
-    return pp.groupBy("table_name").agg(F.max("max_ts").alias("made_current_at"))
+    newest = pp.groupBy("table_name").agg(F.max("max_ts").alias("m"))
+    return newest.select("table_name", as_instant(F.col("m"), pp.schema["max_ts"].dataType).alias("made_current_at"))

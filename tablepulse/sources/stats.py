@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablepulse.functions.exprs import as_instant
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 
 
@@ -31,11 +32,10 @@ def stats_from_metadata(meta: DataFrame, table_name: str, key: str, count_col: s
 
 
 def history_from_column(df: DataFrame, table_name: str, ts_col: str | Column) -> DataFrame:
-    """Newest change of a table taken from a timestamp column of its rows."""
+    """Newest change of a table taken from a timestamp column of its rows (zone-less times read as UTC)."""
     c = F.col(ts_col) if isinstance(ts_col, str) else ts_col
-    return df.agg(F.max(c.cast("timestamp")).alias("made_current_at")).select(
-        F.lit(table_name).alias("table_name"), "made_current_at"
-    )
+    newest = df.agg(F.max(c).alias("m"))
+    return newest.select(F.lit(table_name).alias("table_name"), as_instant(F.col("m"), newest.schema["m"].dataType).alias("made_current_at"))
 
 
 def history_from_files(df: DataFrame, table_name: str) -> DataFrame:

@@ -40,7 +40,7 @@ def running_partition_stats(
     for c in sum_columns:
         aggs += [F.sum(F.col(c).cast("double")).alias(f"sum_{c}"), F.count(F.col(c)).alias(f"count_{c}")]
     if time_column:
-        aggs.append(F.max(F.col(time_column).cast("timestamp")).alias("max_ts"))
+        aggs.append(F.max(F.col(time_column)).alias("max_ts"))
     return stream.groupBy(p.value().alias("partition_value")).agg(*aggs).withColumn("table_name", F.lit(table_name))
 
 
