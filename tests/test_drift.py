@@ -142,3 +142,23 @@ def test_drift_layout_independent(spark, parts):
     assert base.keys() == other.keys()
     for k in base:
         assert math.isclose(base[k], other[k], rel_tol=1e-9)
+
+
+def test_unrolled_and_lambda_buckets_agree_with_python(spark):
+    import random
+
+    rng = random.Random(7)
+    data = []
+    for _ in range(500):
+        cuts = sorted(rng.choice([0.0, 0.5, 1.0, 2.0, 3.0, 5.0]) for _ in range(rng.randint(0, 6)))
+        v = rng.choice([None, -1.0, 0.0, 0.5, 1.0, 2.5, 3.0, 9.0])
+        data.append((v, cuts))
+    df = spark.createDataFrame(data, "v double, cuts array<double>")
+    got = df.select(
+        "v", "cuts",
+        bucket_of(F.col("v"), F.col("cuts"), "own", None).alias("lam"),
+        bucket_of(F.col("v"), F.col("cuts"), "own", 6).alias("unrolled"),
+    ).collect()
+    for r in got:
+        want = len(r["cuts"]) + 1 if r["v"] is None else sum(1 for c in r["cuts"] if r["v"] > c)
+        assert r["lam"] == r["unrolled"] == want
