@@ -55,3 +55,48 @@ def history_of(pp: DataFrame) -> DataFrame:
     """``table_name, made_current_at``: the newest time value over all partitions."""
     newest = pp.groupBy("table_name").agg(F.max("max_ts").alias("m"))
     return newest.select("table_name", as_instant(F.col("m"), pp.schema["max_ts"].dataType).alias("made_current_at"))
+
+
+def normalized_profile(
+    pp: DataFrame, null_columns: Sequence[str] = (), average_columns: Sequence[str] = (), has_time: bool = False
+) -> DataFrame:
+    """One shape for every table, so several tables' aggregates can be unioned (and checkpointed) together.
+
+    ``table_name, partition_value, record_count, nulls map<column, count>,
+    averages map<column, avg>, max_ts`` (an instant; zone-less times as UTC).
+    """
+    nulls = (
+        F.map_from_arrays(F.array(*[F.lit(c) for c in null_columns]), F.array(*[F.col(f"n{i}") for i in range(len(null_columns))]))
+        if null_columns
+        else F.create_map()
+    )
+    avgs = (
+        F.map_from_arrays(
+            F.array(*[F.lit(c) for c in average_columns]), F.array(*[F.col(f"a{i}") for i in range(len(average_columns))])
+        )
+        if average_columns
+        else F.create_map()
+    )
+    ts = as_instant(F.col("max_ts"), pp.schema["max_ts"].dataType) if has_time else F.lit(None).cast("timestamp")
+    return pp.select(
+        "table_name",
+        "partition_value",
+        "record_count",
+        nulls.cast("map<string,bigint>").alias("nulls"),
+        avgs.cast("map<string,double>").alias("averages"),
+        ts.alias("max_ts"),
+    )
+
+
+def null_counts_of_normalized(pn: DataFrame) -> DataFrame:
+    return pn.select("table_name", "partition_value", "record_count", F.explode("nulls").alias("column_name", "null_count"))
+
+
+def averages_of_normalized(pn: DataFrame) -> DataFrame:
+    return pn.select(
+        "table_name", "partition_value", F.col("record_count").alias("rows"), F.explode("averages").alias("column_name", "average")
+    )
+
+
+def history_of_normalized(pn: DataFrame) -> DataFrame:
+    return pn.groupBy("table_name").agg(F.max("max_ts").alias("made_current_at"))

@@ -3,8 +3,9 @@
 A run is one plan per result kind: each table contributes frames that are
 ``unionByName``-ed, so Spark schedules all tables together. The per-table
 partition aggregate (counts, null counts, averages, newest time) is
-computed by one scan and checkpointed when the run is built; the checks
-read that small frame.
+computed by one scan per table; all tables' aggregates are unioned and
+checkpointed in one job when the run is built; the checks read that small
+frame.
 """
 
 from __future__ import annotations
@@ -27,7 +28,14 @@ from tablepulse.operators.nulls import (
     null_ratio_metrics,
     segment_nulls,
 )
-from tablepulse.operators.partition_profile import averages_of, history_of, null_counts_of, partition_profile, stats_of
+from tablepulse.operators.partition_profile import (
+    averages_of_normalized,
+    history_of_normalized,
+    normalized_profile,
+    null_counts_of_normalized,
+    partition_profile,
+    stats_of,
+)
 from tablepulse.operators.rowcounts import row_count_changes
 from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import pk_duplicates
@@ -137,17 +145,23 @@ def run_profile(
     # history. It is small (one row per partition) and is checkpointed to the
     # session's checkpoint folder so that every check reads it instead of
     # rescanning the table (per-branch column pruning would defeat exchange reuse).
-    profiles: dict[str, DataFrame] = {}
+    parts = []
     for t in tables:
         if t.partitioning is not None and t.stats is None:
-            profiles[t.name] = checkpointed(partition_profile(
-                t.df,
-                t.name,
-                t.partitioning,
-                t.null_columns if do("rules") else (),
-                t.average_columns if do("rules") else (),
-                t.time_column if do("availability") and t.history is None else None,
-            ))
+            nulls = list(t.null_columns) if do("rules") else []
+            avgs = list(t.average_columns) if do("rules") else []
+            tcol = t.time_column if do("availability") and t.history is None else None
+            pp = partition_profile(t.df, t.name, t.partitioning, nulls, avgs, tcol)
+            parts.append(normalized_profile(pp, nulls, avgs, tcol is not None))
+    profiles: dict[str, DataFrame] = {}
+    if parts:
+        every = parts[0]
+        for x in parts[1:]:
+            every = every.unionByName(x)
+        every = checkpointed(every)  # one job for all tables
+        for t in tables:
+            if t.partitioning is not None and t.stats is None:
+                profiles[t.name] = every.where(F.col("table_name") == t.name)
 
     def stats(t: TableSpec) -> DataFrame | None:
         return stats_of(profiles[t.name]) if t.name in profiles else t.stats
@@ -158,7 +172,7 @@ def run_profile(
         if not t.time_column:
             return None
         if t.name in profiles:
-            return history_of(profiles[t.name])
+            return history_of_normalized(profiles[t.name])
         return history_from_column(t.df, t.name, t.time_column)
 
     if do("availability"):
@@ -196,12 +210,12 @@ def run_profile(
             pk = t.partitioning.column if t.partitioning else None
             if t.null_columns:
                 if t.name in profiles:
-                    metrics.append(null_ratio_metrics(null_counts_of(profiles[t.name], t.null_columns), pk, as_of))
+                    metrics.append(null_ratio_metrics(null_counts_of_normalized(profiles[t.name]), pk, as_of))
                 else:
                     metrics.append(null_ratio_by_partition(t.df, t.name, t.partitioning, t.null_columns, as_of))
             if t.average_columns and t.partitioning is not None:
                 if t.name in profiles:
-                    metrics.append(average_change_metrics(averages_of(profiles[t.name], t.average_columns), pk, as_of))
+                    metrics.append(average_change_metrics(averages_of_normalized(profiles[t.name]), pk, as_of))
                 else:
                     metrics.append(average_change(t.df, t.name, t.partitioning, t.average_columns, as_of))
     if do("drift"):
