@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tablepulse.plans import oracle, registered
 from conftest import SF001, SF01
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -16,7 +17,7 @@ FAST = [
     "null_ratio_by_partition", "segment_nulls_null_segment", "drift_dod_wow", "drift_with_saved_cuts",
     "policy_all", "batch_text", "write_overwrite_partitions", "run_all",
 ]
-NAMES = list(E.oracle_sql()) if os.environ.get("TABLEPULSE_FULL_ORACLE") else FAST
+NAMES = list(oracle.SQL) if os.environ.get("TABLEPULSE_FULL_ORACLE") else FAST
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,7 @@ def _bag(cols, rs):
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
+    rows_only = set(registered.QUERIES) - set(oracle.SQL)
     assert rows_only == {"sample_bernoulli", "pk_duplicates_approx", "alert_payload", "sink_tables", "write_telemetry"}
     assert set(E.oracle_sql()) <= set(E.queries())
 
