@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: one ASCII white-space run, as the corpus contracts define it
@@ -53,3 +53,17 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
             held += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def class_sample(rows: DataFrame, label: str, key: Column, per_class: int) -> DataFrame:
+    """At most ``per_class`` rows of each label, with their ``rank``: those of smallest hash of the key.
+
+    A first cut by hash leaves about three times as many rows of each label, so that ranking them
+    never gathers a large class. A fixed function of the rows: it does not depend on partitions.
+    """
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30)
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    rates = counts.select(F.col(label).alias("_label"), (F.lit(3.0 * per_class + 50) / F.col("_n")).alias("_rate"))
+    some = rows.join(rates, F.col(label) == F.col("_label")).withColumn("_share", share).where("_share < _rate")
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy("_share", key)))
+    return ranked.where(F.col("rank") <= per_class).drop("_label", "_rate", "_share")

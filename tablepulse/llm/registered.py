@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tablepulse.llm import bpe, mixing
-from tablepulse.llm.common import documents
+from tablepulse.llm import bpe, language, mixing, toxicity
+from tablepulse.llm.common import documents, labels
 from tablepulse.llm.exact_dedup import exact_duplicates
 
 
@@ -17,6 +17,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.train(docs))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.judged(docs, toxicity.train(docs, labels(spark, sf_dir)))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.token_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -28,6 +38,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_language_id": op3_language_id,
+    "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_mixing": op10_mixing,
 }
