@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tablepulse.llm import bpe, language, mixing, toxicity
+from tablepulse.llm import bpe, language, mixing, toxicity, warc_zip
 from tablepulse.llm.common import documents, labels
 from tablepulse.llm.exact_dedup import exact_duplicates
 
@@ -32,6 +32,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc_zip.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -41,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_warc_zip": op9_warc_zip,
     "op10_mixing": op10_mixing,
 }
 
