@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tablepulse.llm import bpe, language, mixing, toxicity, warc_zip
+from tablepulse.llm import bpe, fingerprint, language, mixing, toxicity, warc_zip
 from tablepulse.llm.common import documents, labels
 from tablepulse.llm.exact_dedup import exact_duplicates
 
@@ -22,6 +22,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.document_fingerprints(documents(spark, sf_dir))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.judged(docs, toxicity.train(docs, labels(spark, sf_dir)))
@@ -44,6 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_language_id": op3_language_id,
+    "op4_fingerprint": op4_fingerprint,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_warc_zip": op9_warc_zip,
