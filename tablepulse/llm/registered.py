@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tablepulse.llm import bpe, fingerprint, language, mixing, toxicity, warc_zip
+from tablepulse.llm import bpe, fingerprint, language, mixing, secrets, toxicity, warc_zip
 from tablepulse.llm.common import documents, labels
 from tablepulse.llm.exact_dedup import exact_duplicates
 
@@ -36,6 +37,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.withColumn("secret_sha256", F.sha2("secret", 256)).drop("secret")
+
+
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc_zip.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -51,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprint": op4_fingerprint,
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_secret_scan": op7_secret_scan,
     "op9_warc_zip": op9_warc_zip,
     "op10_mixing": op10_mixing,
 }
