@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from tablepulse.llm import bpe, fingerprint, language, mixing, secrets, toxicity, warc_zip
+from tablepulse.llm import bpe, fingerprint, language, mixing, ngram_join, secrets, toxicity, warc_zip
 from tablepulse.llm.common import documents, labels
 from tablepulse.llm.exact_dedup import exact_duplicates
 
@@ -42,6 +42,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("secret_sha256", F.sha2("secret", 256)).drop("secret")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc_zip.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
+    "op8_ngram_join": op8_ngram_join,
     "op9_warc_zip": op9_warc_zip,
     "op10_mixing": op10_mixing,
 }
@@ -74,4 +79,28 @@ SQL: dict[str, str] = {
                sha256(x) AS text_sha256
         FROM t
     """,
+    "op8_ngram_join": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                   ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+            FROM t
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), e AS (
+            SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 90 * (nx.n + ny.n - k)
+        ), r AS (
+            SELECT doc_id AS x, doc_id AS y FROM documents
+            UNION
+            SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(l.n_links, 0) AS n_links
+        FROM documents d
+        JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) c ON c.x = d.doc_id
+        LEFT JOIN n ON n.doc_id = d.doc_id
+        LEFT JOIN (SELECT x, count(*) AS n_links FROM e GROUP BY x) l ON l.x = d.doc_id
+    """,
 }
