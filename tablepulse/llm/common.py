@@ -64,6 +64,7 @@ def class_sample(rows: DataFrame, label: str, key: Column, per_class: int) -> Da
     share = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / float(1 << 30)
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     rates = counts.select(F.col(label).alias("_label"), (F.lit(3.0 * per_class + 50) / F.col("_n")).alias("_rate"))
-    some = rows.join(rates, F.col(label) == F.col("_label")).withColumn("_share", share).where("_share < _rate")
+    # a row per label: labels are few, as the models that learn them hold them all
+    some = rows.join(F.broadcast(rates), F.col(label) == F.col("_label")).withColumn("_share", share).where("_share < _rate")
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy(label).orderBy("_share", key)))
     return ranked.where(F.col("rank") <= per_class).drop("_label", "_rate", "_share")
