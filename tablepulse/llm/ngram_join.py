@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse.llm.graph import components
-from tablepulse.llm.shards import buffer_of, by_bucket, in_order, mixed_bits, release, sharded
+from tablepulse.llm.shards import buffer_of, in_order, key_counts, mixed_bits, release, sharded, shared_keys
 from tablepulse.session import checkpointed
 
 WORDS = 3
@@ -106,48 +106,6 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     return key[new], np.searchsorted(doc[new], np.arange(len(counts) + 1))
 
 
-def _counted(texts: DataFrame, n_buckets: int, width: int) -> DataFrame:
-    """shard, bucket, place, many: which of a shard's shingles of a bucket several documents have, and how many do."""
-
-    def send(shard: pa.Table) -> pa.Table:
-        keys, _ = shingle_sets(*buffer_of(in_order(shard).column("text")), width)
-        keys, many = np.unique(keys, return_counts=True)
-        order, bounds, low = by_bucket(keys, n_buckets)
-        many = many[order].astype(np.uint32)
-        full = np.flatnonzero(np.diff(bounds))
-        cut = [(bounds[b], bounds[b + 1]) for b in full]
-        number = shard.column("shard")[0].as_py()
-        return pa.table(
-            {
-                "bucket": pa.array(full, pa.int64()),
-                "shard": pa.array([number] * len(full), pa.int64()),
-                "low": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
-                "many": pa.array([many[a:b].tobytes() for a, b in cut], pa.binary()),
-            }
-        )
-
-    def count(bucket: pa.Table) -> pa.Table:
-        shards = bucket.column("shard").to_pylist()
-        lows = [np.frombuffer(x, np.uint32) for x in bucket.column("low").to_pylist()]
-        keys, back = np.unique(np.concatenate(lows), return_inverse=True)
-        each = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket.column("many").to_pylist()])
-        total = np.bincount(back, each, len(keys)).astype(np.uint32)[back]
-        ends = np.cumsum([len(x) for x in lows])
-        out = [(np.flatnonzero(part > 1).astype(np.uint32), part[part > 1]) for part in np.split(total, ends[:-1])]
-        number = bucket.column("bucket")[0].as_py()
-        return pa.table(
-            {
-                "shard": pa.array(shards, pa.int64()),
-                "bucket": pa.array([number] * len(out), pa.int64()),
-                "place": pa.array([p.tobytes() for p, _ in out], pa.binary()),
-                "many": pa.array([m.tobytes() for _, m in out], pa.binary()),
-            }
-        )
-
-    sent = texts.groupBy("shard").applyInArrow(send, "bucket long, shard long, low binary, many binary")
-    return sent.groupBy("bucket").applyInArrow(count, "shard long, bucket long, place binary, many binary")
-
-
 def _described(texts: DataFrame, n_buckets: int, width: int, t: Fraction) -> DataFrame:
     """shard, row, doc_id, n, digest, tokens, places: each document's set by size and digest, and the shingles of
     its prefix that other documents have, with their places in the global order."""
@@ -158,12 +116,7 @@ def _described(texts: DataFrame, n_buckets: int, width: int, t: Fraction) -> Dat
             return out_schema.empty_table()
         shard = in_order(shard)
         keys, begin = shingle_sets(*buffer_of(shard.column("text")), width)
-        different, back = np.unique(keys, return_inverse=True)
-        order, bounds, _ = by_bucket(different, n_buckets)
-        many = np.ones(len(different), np.int64)
-        for bucket, place, total in zip(counts.column("bucket").to_pylist(), counts.column("place").to_pylist(), counts.column("many").to_pylist(), strict=True):
-            many[order[bounds[bucket] + np.frombuffer(place, np.uint32)]] = np.frombuffer(total, np.uint32)
-        many = many[back]
+        many = key_counts(keys, counts, n_buckets)
         n = np.diff(begin)
         digests, tokens, places = [], [], []
         for i in range(len(n)):
@@ -191,7 +144,7 @@ def _described(texts: DataFrame, n_buckets: int, width: int, t: Fraction) -> Dat
         [("shard", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
          ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))]
     )
-    counts = _counted(texts, n_buckets, width)
+    counts = shared_keys(texts, n_buckets, lambda data, at: shingle_sets(data, at, width))
     names = "shard long, row long, doc_id long, n long, digest binary, tokens array<long>, places array<int>"
     return texts.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(describe, names)
 

@@ -14,6 +14,7 @@ knows of each shard's keys, by their place in what the shard sent.
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,62 @@ def by_bucket(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray,
     return order, np.searchsorted(bucket[order], np.arange(n_buckets + 1)), low[order]
 
 
+def shared_keys(texts: DataFrame, n_buckets: int, keys_of: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """shard, bucket, place, many: which of a shard's keys several documents have, and how many do.
+
+    ``keys_of`` gives the different keys of each document of a byte buffer, and where each document's begin.
+    """
+
+    def send(shard: pa.Table) -> pa.Table:
+        keys, _ = keys_of(*buffer_of(in_order(shard).column("text")))
+        keys, many = np.unique(keys, return_counts=True)
+        order, bounds, low = by_bucket(keys, n_buckets)
+        many = many[order].astype(np.uint32)
+        full = np.flatnonzero(np.diff(bounds))
+        cut = [(bounds[b], bounds[b + 1]) for b in full]
+        number = shard.column("shard")[0].as_py()
+        return pa.table(
+            {
+                "bucket": pa.array(full, pa.int64()),
+                "shard": pa.array([number] * len(full), pa.int64()),
+                "low": pa.array([low[a:b].tobytes() for a, b in cut], pa.binary()),
+                "many": pa.array([many[a:b].tobytes() for a, b in cut], pa.binary()),
+            }
+        )
+
+    def count(bucket: pa.Table) -> pa.Table:
+        shards = bucket.column("shard").to_pylist()
+        lows = [np.frombuffer(x, np.uint32) for x in bucket.column("low").to_pylist()]
+        keys, back = np.unique(np.concatenate(lows), return_inverse=True)
+        each = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket.column("many").to_pylist()])
+        total = np.bincount(back, each, len(keys)).astype(np.uint32)[back]
+        ends = np.cumsum([len(x) for x in lows])
+        out = [(np.flatnonzero(part > 1).astype(np.uint32), part[part > 1]) for part in np.split(total, ends[:-1])]
+        number = bucket.column("bucket")[0].as_py()
+        return pa.table(
+            {
+                "shard": pa.array(shards, pa.int64()),
+                "bucket": pa.array([number] * len(out), pa.int64()),
+                "place": pa.array([p.tobytes() for p, _ in out], pa.binary()),
+                "many": pa.array([m.tobytes() for _, m in out], pa.binary()),
+            }
+        )
+
+    sent = texts.groupBy("shard").applyInArrow(send, "bucket long, shard long, low binary, many binary")
+    return sent.groupBy("bucket").applyInArrow(count, "shard long, bucket long, place binary, many binary")
+
+
+def key_counts(keys: np.ndarray, counts: pa.Table, n_buckets: int) -> np.ndarray:
+    """For each of a shard's keys, in how many documents it is, from the shard's rows of ``shared_keys``. Keys whose
+    buckets and low bits are the same count as one, which can only make a count too large."""
+    different, back = np.unique(keys, return_inverse=True)
+    order, bounds, _ = by_bucket(different, n_buckets)
+    many = np.ones(len(different), np.int64)
+    for bucket, place, total in zip(*(counts.column(c).to_pylist() for c in ("bucket", "place", "many")), strict=True):
+        many[order[bounds[bucket] + np.frombuffer(place, np.uint32)]] = np.frombuffer(total, np.uint32)
+    return many[back]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files of finished jobs now rather than at the driver's next full collection."""
     gc.collect()
