@@ -37,11 +37,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse.llm.graph import components
-from tablepulse.llm.shards import buffer_of, in_order, key_counts, mixed_bits, release, sharded, shared_keys
+from tablepulse.llm.shards import buffer_of, in_order, key_counts, mixed_bits, release, shard_of, sharded, shared_keys
 from tablepulse.session import checkpointed
 
 WORDS = 3
@@ -292,3 +293,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, threshold: Fraction
     rows = described.select("doc_id", "n", "digest", "shard", "row").join(known, ["n", "digest"], "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "shard", "row")
+
+
+def keep_first(docs: DataFrame, words: int = WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
+    """The documents that stay, with all their columns: the first of each component by id (then by shard and row),
+    and every document without shingles."""
+    found = checkpointed(jaccard_components(docs, words, threshold))
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "shard", "row")).alias("_first"))
+    first = first.select(F.col("_first.shard").alias("shard"), F.col("_first.row").alias("row"))
+    kept = checkpointed(first.unionByName(found.where("n_shingles = 0").select("shard", "row")))
+    # a row is found again by its place in its shard, so that rows that repeat an id differ, too
+    names = docs.columns
+
+    def pick(shard: pa.Table, kept: pa.Table) -> pa.Table:
+        ordered = in_order(shard.append_column("__text", pc.fill_null(shard.column("text"), "").cast(pa.binary())), "__text")
+        return ordered.take(kept.column("row")).select(names)
+
+    keyed = docs.withColumn("__shard", shard_of(docs)[0])
+    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
+    return keyed.groupBy("__shard").cogroup(kept.groupBy("shard")).applyInArrow(pick, schema)

@@ -19,7 +19,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse.llm.common import filled, text_bytes
@@ -29,17 +29,21 @@ SHARD_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 
 
+def shard_of(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[Column, int]:
+    """The shard of a document, and the bytes of all texts."""
+    size = text_bytes(docs)
+    return F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-size // shard_bytes)))), size
+
+
 def sharded(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
     """``shard, doc_id, text`` (bytes; null as empty) and the number of buckets for their keys."""
-    size = text_bytes(docs)
-    n = max(1, -(-size // shard_bytes))
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("shard")
-    return docs.select(shard, "doc_id", filled("text").cast("binary").alias("text")), max(1, -(-size // BUCKET_BYTES))
+    shard, size = shard_of(docs, shard_bytes)
+    return docs.select(shard.alias("shard"), "doc_id", filled("text").cast("binary").alias("text")), max(1, -(-size // BUCKET_BYTES))
 
 
-def in_order(shard: pa.Table) -> pa.Table:
+def in_order(shard: pa.Table, text: str = "text") -> pa.Table:
     """The rows of a shard in their fixed order."""
-    return shard.take(pc.sort_indices(shard, [("doc_id", "ascending"), ("text", "ascending")]))
+    return shard.take(pc.sort_indices(shard, [("doc_id", "ascending"), (text, "ascending")]))
 
 
 def buffer_of(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
