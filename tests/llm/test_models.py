@@ -1,0 +1,162 @@
+"""Classifiers (held-out accuracy), fingerprints and the secret scan."""
+
+import random
+
+import fixtures as X
+import numpy as np
+import pytest
+
+from tablepulse.llm import fingerprint, language, secrets, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_languages_of_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = language.identify(docs, language.train(docs)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 150
+    assert sum(r["lang_pred"] == r["lang"] for r in got) / len(got) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_language_of_awkward_documents(spark):
+    docs = X.docs(spark)
+    got = language.identify(docs, language.train(docs)).collect()
+    assert len(got) == len(X.TEXTS)
+    letterless = {4, 5, 6, 14}
+    for r in got:
+        if r["doc_id"] in letterless:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        elif r["doc_id"] is not None:
+            assert r["lang_pred"] in {"en", "de", "fr"}
+
+
+def test_language_of_nothing(spark):
+    assert language.train(X.empty(spark)) is None
+    assert language.identify(X.empty(spark), None).count() == 0
+    assert {r["lang_pred"] for r in language.identify(X.docs(spark), None).collect()} == {"und"}
+
+
+def test_folded_language_scores_are_the_kernel_ridge_scores():
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("abcdefg "), 60)) if i % 2 else "".join(rng.choice(list("mnopqr "), 60)) for i in range(40)]
+    label = np.arange(40) % 2
+    model = language.fit(["a", "b"], label, language.presence(texts), np.arange(40), landmarks=40)
+    x = language.presence(texts).astype(float)
+    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    # with every row a landmark the Nyström features are exact: ordinary kernel ridge regression
+    kernel = x @ x.T
+    exact = kernel @ np.linalg.solve(kernel + language.RIDGE * 40 * np.eye(40), np.where(label[:, None] == [0, 1], 1.0, -1.0))
+    assert np.allclose(language.scores(model, texts), exact, atol=1e-3)
+
+
+def toxic_sample(n=400, seed=5):
+    r = random.Random(seed)
+    plain = ["".join(r.choice("aeiou") + r.choice("rstlnd") for _ in range(r.randint(1, 4))) for _ in range(200)]
+    bad = ["zorkface", "blimphead", "quuxwit"]
+    rows = []
+    for i in range(n):
+        words = [r.choice(plain) for _ in range(r.randint(20, 80))]
+        if i % 3 == 0:
+            for _ in range(2):
+                words[r.randrange(len(words))] = r.choice(bad)
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    return plain, rows
+
+
+def test_unseen_misspellings_share_subwords(spark):
+    plain, rows = toxic_sample()
+    model = toxicity.fit([toxicity.bag(t) for _, t, _ in rows], np.array([y for *_, y in rows]))
+    assert toxicity.score(model, " ".join(plain[:20] + ["zorrkface", "blimpheadd"])) > 0.5
+    assert toxicity.score(model, " ".join(plain[20:60])) < 0.5
+
+
+def test_toxicity_learns_only_from_learned_folds_and_scores_all(spark):
+    _, rows = toxic_sample()
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows] + [(9000, None, "x"), (9001, "", "x"), (None, "text", "x")], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows] + [(None, 1, 1), (1, 1, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.judged(docs, toxicity.train(docs, labels)).collect()
+    assert len(got) == len(rows) + 3
+    truth = {i: y for i, _, y in rows}
+    held = [r for r in got if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) / len(held) > 0.9
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
+
+
+def test_toxicity_without_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = toxicity.train(X.docs(spark), none)
+    assert {r["score"] for r in toxicity.judged(X.docs(spark), model).collect()} == {0.0}
+    assert toxicity.keep_clean(X.docs(spark), model).columns == X.docs(spark).columns
+    assert toxicity.judged(X.empty(spark), model).count() == 0
+
+
+def test_slices_do_not_change_a_bag(monkeypatch):
+    text = "The quick  brown\tfox, jumps über " * 40
+    whole = toxicity.bag(text).tolist(), language.presence([text]).tolist()
+    monkeypatch.setattr(toxicity, "SLICE", 64)
+    monkeypatch.setattr(language, "SLICE", 64)
+    assert (toxicity.bag(text).tolist(), language.presence([text]).tolist()) == whole
+
+
+@pytest.mark.parametrize("range_bytes", [200, 4 << 20])
+def test_fingerprints_and_edits(spark, range_bytes):
+    texts = [(i, t) for i, t, *_ in X.TEXTS]
+    order = sorted(texts, key=lambda x: (x[0] is None, x[0] or 0, (x[1] or "").encode()))
+    want = []
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        want.append((i, len(t), X.sha(t[: len(t) - half] + following[:half])))
+    got = fingerprint.document_fingerprints(X.docs(spark), range_bytes).collect()
+    assert X.by_all((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == X.by_all(want)
+    by_id = {r["doc_id"]: r for r in got}
+    # equal texts, and texts with the same paragraphs in another order, have one fingerprint
+    assert by_id[1]["fingerprint"] == by_id[3]["fingerprint"] != by_id[2]["fingerprint"]
+    assert by_id[11]["fingerprint"] == by_id[12]["fingerprint"]
+    assert all(0 <= r[c] <= 1 for r in got for c in ("near_edited", "near_next"))
+    assert by_id[11]["near_next"] == 1.0 and by_id[1]["near_next"] > 0.6 > by_id[10]["near_next"]
+
+
+def test_fingerprints_add_up(spark):
+    """Inserting a paragraph adds its vector, modulo the lanes."""
+    texts = spark.createDataFrame([(0, "one two three\nfour five"), (1, "one two three"), (2, "four five")], "k int, text string")
+    v = {r["k"]: r["vector"] for r in fingerprint.fingerprints(texts, ["k"]).collect()}
+    assert [(a + b) % (1 << 32) for a, b in zip(v[1][:8], v[2][:8], strict=True)] == v[0][:8]
+    assert [a + b for a, b in zip(v[1][8:], v[2][8:], strict=True)] == v[0][8:]
+
+
+def test_fingerprint_of_one_and_of_no_document(spark):
+    one = fingerprint.document_fingerprints(X.docs(spark, [(1, "alone here", None, None)])).collect()
+    assert one[0]["near_next"] == 1.0 and one[0]["edited_sha256"] == X.sha("alonealone")
+    assert fingerprint.document_fingerprints(X.empty(spark)).count() == 0
+
+
+def secret_docs(seed=11, n=300):
+    r = random.Random(seed)
+    hexes = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
+    rows, truth = [], {}
+    for i in range(n):
+        kind = i % 6
+        value = [
+            "AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), hexes(20), hexes(40),
+            "".join(r.choice("0123456789") for _ in range(16)), f"build/{hexes(6)}/2024-01-0{r.randint(1, 9)}.txt", f"2024-0{r.randint(1, 9)}-{r.randint(10, 28)}T10:00",
+        ][kind]
+        shown = [f"key {value}.", f"password={value}", f'token = "{value}"', f"order {value}", f"see {value}", f"on {value}"][kind]
+        rows.append((i, f"some words here\nand then {shown} and more words"))
+        truth[i] = kind < 3
+    return rows, truth
+
+
+def test_secrets_are_kept_and_lookalikes_dropped(spark):
+    rows, truth = secret_docs()
+    got = secrets.scan(spark.createDataFrame([(t, i, "x") for i, t in rows], "text string, doc_id long, kept string")).collect()
+    kept = {r["doc_id"] for r in got if r["kept"]}
+    assert kept == {i for i, real in truth.items() if real}
+    assert any(not r["kept"] for r in got)
+
+
+def test_secret_scan_of_awkward_documents(spark):
+    assert secrets.scan(X.empty(spark)).count() == 0
+    got = secrets.scan(X.docs(spark)).collect()
+    assert all(r["kept"] for r in got if r["probability"] is None)
