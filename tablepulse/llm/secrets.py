@@ -41,8 +41,8 @@ from tablepulse.llm.common import SPACE_RUN, class_sample, filled, held_out
 from tablepulse.session import checkpointed
 
 SHORTEST = 12
-#: a run of key characters with a digit, or a value after a credential's name
-CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}|(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?[\"']?\s*[:=]\s*[\"']?[^\s\"']{6,}"
+#: a key id, a run of key characters with a digit, or a value after a credential's name
+CANDIDATE = r"(?:AKIA|ASIA)[0-9A-Z]{16}|(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}|(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?[\"']?\s*[:=]\s*[\"']?[^\s\"']{6,}"
 CREDENTIAL = r"(?i)(passw(or)?d|passwd|secret|token|api_?key|credential|auth)"
 #: forms of keys that are public knowledge
 KEY_FORM = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[0-9A-Za-z_\-]{35}$|^sk_live_[0-9a-zA-Z]{24,}$"
@@ -121,9 +121,10 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
 
 def seed_labels(described: DataFrame) -> DataFrame:
     """The clear cases, with ``label``."""
-    secret = F.col("secret").rlike(KEY_FORM) | ((F.col("f_named_before") == 1) & (F.col("f_digits") > 0) & (F.col("f_length") >= 8))
+    form = F.col("secret").rlike(KEY_FORM)
+    named = (F.col("f_named_before") == 1) & (F.col("f_digits") > 0) & (F.col("f_length") >= 8)
     plain = (F.col("f_number") == 1) | (F.col("f_address") == 1) | (F.col("f_path") == 1) | (F.col("f_covered") >= 0.8) | (F.col("f_digits") == 0)
-    label = F.when(secret & ~plain, 1).when(plain & ~secret, 0)
+    label = F.when(form | (named & ~plain), 1).when(plain & ~named, 0)
     return described.withColumn("label", label).where("label IS NOT NULL")
 
 
