@@ -38,7 +38,8 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 8
 FIT_ROWS = 2500
-EPOCHS = 12
+#: steps of training, whatever the size of the sample: small samples get more epochs
+STEPS = 940
 BATCH = 64
 RATE = 0.01
 DECAY = 1e-5
@@ -83,7 +84,7 @@ def bag(text: str) -> np.ndarray:
     return np.flatnonzero(seen)
 
 
-def fit(bags: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS) -> ToxicityModel:
+def fit(bags: list[np.ndarray], label: np.ndarray, steps: int = STEPS) -> ToxicityModel:
     """Train embeddings and softmax layer together."""
     if len(set(label.tolist())) < 2:
         return ToxicityModel(None, float(label.mean()) if len(label) else 0.0)
@@ -99,7 +100,7 @@ def fit(bags: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS) -> Toxi
     weight = np.where(label == 1, 0.5 / max(1, (label == 1).sum()), 0.5 / max(1, (label == 0).sum())) * len(label)
     step = 0
     x = np.zeros((BATCH, BUCKETS), np.float32)
-    for _ in range(epochs):
+    for _ in range(-(-steps // -(-len(bags) // BATCH))):
         order = rng.permutation(len(bags))
         for start in range(0, len(order), BATCH):
             rows = order[start : start + BATCH]
