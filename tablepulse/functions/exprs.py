@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
@@ -49,6 +49,14 @@ def str_map(**kv: Column | str) -> Column:
     return F.create_map(*parts)
 
 
+def partition_key_details(keys: Mapping[str, str]) -> Column:
+    """The details of each table's rows: its partition key, by ``table_name`` (an empty map for tables without one)."""
+    out = empty_str_map()
+    for table, key in keys.items():
+        out = F.when(F.col("table_name") == table, str_map(partitionKey=key)).otherwise(out)
+    return out
+
+
 def parse_iso_date(c: Column) -> Column:
     """Strict yyyy-MM-dd parse; other text gives null (never an error)."""
     return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, "yyyy-MM-dd"))

@@ -9,13 +9,12 @@ range predicates on the raw column so that they reach the Parquet scan as
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _GRAINS = {"value": None, "day": "yyyy-MM-dd", "month": "yyyy-MM"}
 
@@ -41,7 +40,9 @@ class Partitioning:
         """Predicate selecting rows whose partition value is in ``values``.
 
         Day and month grains become ``col >= start AND col < end`` ranges typed
-        like the column, so Catalyst pushes them into the scan.
+        like the column, so Catalyst pushes them into the scan. Adjacent
+        partitions are one range; separate ranges are a balanced tree of ORs,
+        so that thousands of them still plan.
         """
         values = list(values)
         if not values:
@@ -49,14 +50,12 @@ class Partitioning:
         if self.grain == "value":
             return F.col(self.column).isin(values)
         dtype = df.schema[self.column].dataType
-        pred = None
-        for v in values:
-            start, end = _bounds(v, self.grain)
-            lo = F.lit(start.isoformat()).cast(dtype)
-            hi = F.lit(end.isoformat()).cast(dtype)
-            term = (F.col(self.column) >= lo) & (F.col(self.column) < hi)
-            pred = term if pred is None else (pred | term)
-        return pred
+        c = F.col(self.column)
+        terms = [
+            (c >= F.lit(start.isoformat()).cast(dtype)) & (c < F.lit(end.isoformat()).cast(dtype))
+            for start, end in _merged(_bounds(v, self.grain) for v in values)
+        ]
+        return _any(terms)
 
 
 def _bounds(v: str, grain: str) -> tuple[date, date]:
@@ -67,11 +66,24 @@ def _bounds(v: str, grain: str) -> tuple[date, date]:
     return date(y, m, 1), (date(y + 1, 1, 1) if m == 12 else date(y, m + 1, 1))
 
 
+def _merged(bounds: Iterable[tuple[date, date]]) -> list[tuple[date, date]]:
+    out: list[tuple[date, date]] = []
+    for start, end in sorted(set(bounds)):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def _any(terms: list[Column]) -> Column:
+    if len(terms) == 1:
+        return terms[0]
+    half = len(terms) // 2
+    return _any(terms[:half]) | _any(terms[half:])
+
+
 def as_partitioning(p: Partitioning | str | None) -> Partitioning | None:
     if p is None or isinstance(p, Partitioning):
         return p
     return Partitioning(p)
-
-
-def is_timestamp(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import lit_date, lit_ts, str_map
+from tablepulse.functions.exprs import lit_date, lit_ts, partition_key_details, str_map
 from tablepulse.functions.joins import bounded_broadcast
 from tablepulse.operators.results import metric_rows, rule_rows
+from tablepulse.sources.stats import latest_snapshot
 
 
 def expected_partitions(spark: SparkSession, expected: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -23,17 +24,20 @@ def expected_partitions(spark: SparkSession, expected: Mapping[str, Sequence[str
 def partition_counts(stats: DataFrame, expected: DataFrame, expected_rows: int | None = None) -> DataFrame:
     """Record count of every expected partition; missing partitions count 0.
 
-    The expected list is the small, known side: it is broadcast and the
-    statistics stream past it (right outer join, build side = expected).
+    The expected list is the small, known side: the statistics stream past it
+    (a semi-join with the list broadcast), and what is left of them, a row per
+    expected partition at most, is looked up by the list.
     """
-    exp = bounded_broadcast(expected.select("table_name", "partition_value").distinct(), expected_rows)
-    return stats.join(exp, ["table_name", "partition_value"], "right").select(
+    keys = ["table_name", "partition_value"]
+    exp = expected.select(*keys).distinct()
+    found = bounded_broadcast(stats.join(bounded_broadcast(exp, expected_rows), keys, "left_semi"), expected_rows)
+    return exp.join(found, keys, "left").select(
         "table_name", "partition_value", F.coalesce(F.col("record_count"), F.lit(0)).cast("long").alias("record_count")
     )
 
 
 def availability_metrics(
-    counts: DataFrame, partition_key: str | None = None, as_of: date | datetime | str | None = None
+    counts: DataFrame, partition_key: str | Mapping[str, str] | None = None, as_of: date | datetime | str | None = None
 ) -> DataFrame:
     """Two metrics per expected partition: ``partition_row_count`` and ``partition_exists``."""
     pairs = F.array(
@@ -41,7 +45,10 @@ def availability_metrics(
         F.struct(F.lit("partition_exists").alias("n"), F.when(F.col("record_count") > 0, 1.0).otherwise(0.0).alias("v")),
     )
     long = counts.select("table_name", "partition_value", F.inline(pairs))
-    details = str_map(partitionKey=partition_key) if partition_key else None
+    if isinstance(partition_key, Mapping):
+        details = partition_key_details(partition_key)
+    else:
+        details = str_map(partitionKey=partition_key) if partition_key else None
     return metric_rows(
         long, F.col("table_name"), F.col("partition_value"), lit_date(as_of), F.col("n"), F.col("v"), details
     )
@@ -83,9 +90,9 @@ def snapshot_age(latest: DataFrame, as_of: datetime | str | None) -> DataFrame:
     )
 
 
-def freshness_metrics(latest: DataFrame, as_of: datetime | str | None) -> DataFrame:
-    """``snapshot_age_hours`` per table with history."""
-    aged = snapshot_age(latest, as_of)
+def freshness_metrics(history: DataFrame, as_of: datetime | str | None) -> DataFrame:
+    """``snapshot_age_hours`` of the newest snapshot per table with history."""
+    aged = snapshot_age(latest_snapshot(history), as_of)
     return metric_rows(
         aged, F.col("table_name"), F.lit(None), lit_date(as_of), F.lit("snapshot_age_hours"), F.col("age_hours")
     )
@@ -93,16 +100,17 @@ def freshness_metrics(latest: DataFrame, as_of: datetime | str | None) -> DataFr
 
 def freshness_rules(
     tables: DataFrame,
-    latest: DataFrame,
+    history: DataFrame,
     as_of: datetime | str | None,
     sla_hours: int = S.SLA_HOURS,
     ts: datetime | str | None = None,
     tables_rows: int | None = None,
 ) -> DataFrame:
-    """Failed ``freshness`` rules: no history at all, or age above the SLA (strict)."""
-    aged = snapshot_age(latest, as_of)
-    t = bounded_broadcast(tables.select("table_name").distinct(), tables_rows)
-    j = aged.join(t, "table_name", "right")
+    """Failed ``freshness`` rules: no history at all, or the newest snapshot's age above the SLA (strict)."""
+    t = tables.select("table_name").distinct()
+    known = history.join(bounded_broadcast(t, tables_rows), "table_name", "left_semi")
+    aged = bounded_broadcast(snapshot_age(latest_snapshot(known), as_of), tables_rows)
+    j = t.join(aged, "table_name", "left")
     no_hist = F.col("made_current_at").isNull()
     failed = j.where(no_hist | (F.col("age_hours") > F.lit(sla_hours)))
     return rule_rows(

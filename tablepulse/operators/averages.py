@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablepulse.functions.exprs import change_ratio, str_map
+from tablepulse.functions.exprs import change_ratio, nan_to_null, partition_key_details, str_map
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 from tablepulse.operators.results import metric_date_of, metric_rows
 
@@ -16,9 +16,9 @@ from tablepulse.operators.results import metric_date_of, metric_rows
 def partition_averages(
     df: DataFrame, table_name: str, partitioning: Partitioning | str, columns: Sequence[str]
 ) -> DataFrame:
-    """Long form ``table_name, partition_value, column_name, average, rows`` (one aggregation pass)."""
+    """Long form ``table_name, partition_value, column_name, average, rows`` (one aggregation pass; NaN counts as null)."""
     p = as_partitioning(partitioning)
-    aggs = [F.count(F.lit(1)).alias("rows")] + [F.avg(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(columns)]
+    aggs = [F.count(F.lit(1)).alias("rows")] + [F.avg(nan_to_null(F.col(c))).alias(f"a{i}") for i, c in enumerate(columns)]
     per = df.groupBy(p.value().alias("partition_value")).agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("average")) for i, c in enumerate(columns)])
     return per.select(F.lit(table_name).alias("table_name"), "partition_value", "rows", F.inline(pairs))
@@ -43,14 +43,15 @@ def average_change(
 
 
 def average_change_metrics(
-    avgs: DataFrame, partition_key: str | None = None, as_of: date | datetime | str | None = None, last: int | None = None
+    avgs: DataFrame, partition_key: str | Mapping[str, str] | None = None, as_of: date | datetime | str | None = None, last: int | None = None
 ) -> DataFrame:
     """``average_change`` metrics from ``table_name, partition_value, column_name, average`` rows.
 
     The window holds one column's partition list (one row per partition).
     """
     w = Window.partitionBy("table_name", "column_name").orderBy("partition_value")
-    x = avgs.withColumn("prev", F.lag("average", 1).over(w))
+    # rows without a partition value are no partition to compare with
+    x = avgs.where(F.col("partition_value").isNotNull()).withColumn("prev", F.lag("average", 1).over(w))
     if last is not None:
         newest = Window.partitionBy("table_name", "column_name").orderBy(F.col("partition_value").desc())
         x = x.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= last)
@@ -59,8 +60,10 @@ def average_change_metrics(
         column=F.col("column_name"),
         average=F.col("average").cast("string"),
         previous_average=F.col("prev").cast("string"),
-        **({"partitionKey": partition_key} if partition_key is not None else {}),
+        **({"partitionKey": partition_key} if isinstance(partition_key, str) else {}),
     )
+    if isinstance(partition_key, Mapping):
+        details = F.map_concat(details, partition_key_details(partition_key))
     return metric_rows(
         x,
         F.col("table_name"),

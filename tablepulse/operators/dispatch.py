@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import iso_instant, severity_rank
+from tablepulse.functions.exprs import empty_str_map, iso_instant, severity_rank, str_map
 from tablepulse.functions.sequence import with_sequence
 
 ALERT_COLS = ["behavior", "table_name", "partition_value", "actual", "threshold", "severity", "message", "ts", "extra", "alert_key"]
@@ -64,23 +64,36 @@ def sendable(decisions: DataFrame, level: str) -> DataFrame:
     return kept.select(*ALERT_COLS)
 
 
+def _subject() -> Column:
+    """What an alert is about beyond its key: column and reference."""
+    return F.concat_ws("/", F.col("extra")["column"], F.col("extra")["reference"])
+
+
 def _order_struct() -> Column:
+    """The worst alert first: severity, then the largest value; the rest makes the order total."""
     return F.struct(
-        F.col("ts"),
         severity_rank(F.col("severity")).alias("r"),
-        F.col("table_name"),
-        F.coalesce(F.col("partition_value"), F.lit("")).alias("p"),
-        F.col("behavior"),
+        F.when(F.isnan("actual"), F.lit(None)).otherwise(-F.col("actual")).isNull().alias("unknown"),
+        (-F.col("actual")).alias("worst"),
+        F.col("ts"),
         F.col("message"),
-        F.col("actual"),
+        _subject().alias("subject"),
+        F.to_json("extra").alias("extra"),
     )
 
 
 def dedup_alerts(alerts: DataFrame) -> DataFrame:
-    """One alert per key: the earliest (ties broken by severity, table, partition, behaviour)."""
+    """One alert per key: the worst, with all columns (and references) that share the key in ``extra['merged']``.
+
+    A key's alerts are those of one check of one partition: a few columns and references.
+    """
     cols = [c for c in ALERT_COLS if c != "alert_key"]
-    first = alerts.groupBy("alert_key").agg(F.min_by(F.struct(*cols), _order_struct()).alias("a"))
-    return first.select(*[F.col(f"a.{c}").alias(c) for c in cols], "alert_key").select(*ALERT_COLS)
+    first = alerts.groupBy("alert_key").agg(
+        F.min_by(F.struct(*cols), _order_struct()).alias("a"), F.array_sort(F.collect_set(_subject())).alias("subjects")
+    )
+    merged = F.when(F.size("subjects") > 1, str_map(merged=F.array_join("subjects", ", "))).otherwise(empty_str_map())
+    extra = F.map_concat(F.coalesce(F.col("a.extra"), empty_str_map()), merged)
+    return first.select(*[(extra if c == "extra" else F.col(f"a.{c}")).alias(c) for c in cols], "alert_key").select(*ALERT_COLS)
 
 
 def total_order() -> list[Column]:
@@ -94,6 +107,8 @@ def total_order() -> list[Column]:
         F.col("ts"),
         F.col("message"),
         F.col("actual"),
+        _subject(),
+        F.to_json("extra"),
     ]
 
 
@@ -187,7 +202,7 @@ def batch_messages(numbered: DataFrame, ch: Channel) -> DataFrame:
     """One message per batch: ``batch_no, alerts, text, items, blocks, channel``.
 
     A batch of one alert is rendered as that alert; larger batches get a
-    header with counts per severity and at most 10 item lines.
+    header with counts per severity and at most 10 item lines, with a line that counts the rest.
     """
     single_text = render_text(ch)
     single_blocks = render_blocks(ch, numbered.sparkSession.conf.get("spark.sql.session.timeZone"))
@@ -219,6 +234,8 @@ def batch_messages(numbered: DataFrame, ch: Channel) -> DataFrame:
         F.lit(f"[{ch.product}|{ch.environment}] "), F.col("alerts").cast("string"), F.lit(" alerts ("), counts, F.lit(")")
     )
     items = F.array_join(F.transform(F.slice(F.col("items_arr"), 1, S.BATCH_ITEM_LINES), lambda a: a["item"]), "\n")
+    more = F.col("alerts") - S.BATCH_ITEM_LINES
+    items = F.when(more > 0, F.concat(items, F.lit("\n… and "), more.cast("string"), F.lit(" more"))).otherwise(items)
     multi_blocks = F.to_json(F.array(_section_text(header), _section_text(items)))
     one = F.col("alerts") == 1
     return g.select(
@@ -232,14 +249,27 @@ def batch_messages(numbered: DataFrame, ch: Channel) -> DataFrame:
 
 
 def messages(decisions: DataFrame, ch: Channel, dedup: bool = True, cap: bool = True) -> DataFrame:
-    """Messages for the channel: level filter, optional dedup by key, batches, optional cap."""
+    """Messages for the channel: level filter, optional dedup by key, batches, optional cap.
+
+    With the cap, the last message says how many messages and alerts it holds back.
+    """
     alerts = sendable(decisions, ch.level)
     if dedup:
         alerts = dedup_alerts(alerts)
     out = batch_messages(number_batches(alerts, ch.batch_size), ch)
-    if cap:
-        out = out.where(F.col("batch_no") < F.lit(ch.max_messages))
-    return out
+    return capped(out, ch.max_messages)[0] if cap else out
+
+
+def capped(batches: DataFrame, max_messages: int) -> tuple[DataFrame, int, int]:
+    """(the first ``max_messages`` messages, number of messages and of alerts held back)."""
+    rest = batches.where(F.col("batch_no") >= max_messages)
+    row = rest.agg(F.count(F.lit(1)).alias("messages"), F.coalesce(F.sum("alerts"), F.lit(0)).alias("alerts")).first()
+    out = batches.where(F.col("batch_no") < max_messages)
+    if row["messages"]:
+        note = f" (+{row['alerts']} alerts in {row['messages']} more messages not sent)"
+        last = F.col("batch_no") == max_messages - 1
+        out = out.withColumn("text", F.when(last, F.concat("text", F.lit(note))).otherwise(F.col("text")))
+    return out, int(row["messages"]), int(row["alerts"])
 
 
 def dry_run(decisions: DataFrame, ch: Channel) -> DataFrame:

@@ -74,8 +74,8 @@ def day_values(df: DataFrame, table_name: str, partitioning: Partitioning | str,
     Day grain takes the date of the timestamp; a value-grain key is read as
     an ISO date (other text gives null and is left out).
     """
-    p = as_partitioning(partitioning)
-    day = F.to_date(F.col(p.column)) if p.grain == "day" else F.col(p.column).cast("string").cast("date")
+    p = _day_partitioning(partitioning)
+    day = F.to_date(F.col(p.column)) if p.grain == "day" else F.col(p.column).cast("string").try_cast("date")
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), F.expr(f"try_cast(`{c}` AS DOUBLE)").alias("value"))
@@ -91,6 +91,13 @@ def day_values(df: DataFrame, table_name: str, partitioning: Partitioning | str,
     )
 
 
+def _day_partitioning(partitioning: Partitioning | str) -> Partitioning:
+    p = as_partitioning(partitioning)
+    if p.grain == "month":
+        raise ValueError("drift compares days; a month grain has no day before or week before")
+    return p
+
+
 def _key(values: DataFrame) -> str:
     return "day" if "day" in values.columns else "partition_value"
 
@@ -145,10 +152,6 @@ def materialize_cuts(cuts: DataFrame) -> tuple[DataFrame, int, int]:
     return c, int(row["n"] or 0), int(row["m"] or 0)
 
 
-def _shift_day(day: Column, days: int) -> Column:
-    return F.date_format(F.date_sub(F.to_date(day, "yyyy-MM-dd"), days), "yyyy-MM-dd")
-
-
 def histograms(
     values: DataFrame,
     cuts: DataFrame,
@@ -166,34 +169,37 @@ def histograms(
     only those days take the current role and only their reference days the
     reference role.
 
-    Each value row looks up its own and its earlier days' cuts (broadcast
-    lookups of the small cuts table) and gets one bucket per role, so the
-    large aggregation sees every value once; its groups are bucket
-    combinations per (column, day). The small result is then split into one
-    row per (cut day, bucket). Days are DATE values inside; text only in
-    the result.
+    The cuts that a day's values are compared under, its own and its earlier
+    days', are put into one row per (column, day) first, so each value row
+    takes one lookup. It is a broadcast while that table's measured rows, at
+    the bytes of their cuts, stay small; otherwise a shuffle join on (column,
+    day), whose hot days AQE can split. The large aggregation then sees every
+    value once; its groups are bucket combinations per (column, day). The
+    small result is split into one row per (cut day, bucket). Days are DATE
+    values inside; text only in the result.
     """
     if "day" not in values.columns:
-        values = values.withColumn("day", F.col("partition_value").cast("date"))
+        values = values.withColumn("day", F.col("partition_value").try_cast("date"))
     day = F.col("day")
     roles = [("self", 0)] + [(f"r{i}", r.days) for i, r in enumerate(references)]
     c = cuts.select(
         "table_name",
         "column_name",
-        F.col("partition_value").cast("date").alias("cut_day"),
+        F.col("partition_value").try_cast("date").alias("cut_day"),
         F.array_sort("cuts").alias("cuts"),
     )
-    c = bounded_broadcast(c, cuts_rows)
+    per_role = F.array(*[F.struct(F.date_add("cut_day", k).alias("day"), F.lit(n).alias("role")) for n, k in roles])
+    c = c.select("table_name", "column_name", "cuts", F.inline(per_role)).groupBy("table_name", "column_name", "day")
+    c = c.agg(*[F.max(F.when(F.col("role") == n, F.col("cuts"))).alias(f"c_{n}") for n, _ in roles])
+    if cuts_rows is not None:
+        c = bounded_broadcast(c, cuts_rows * len(roles), 100 + 8 * len(roles) * (max_cuts or S.DRIFT_BINS))
     if current is not None:
         cur = F.array(*[F.lit(x).cast("date") for x in current])
         refs = F.array(*[F.lit(d).cast("date") for d in _reference_days(current, references)])
-    x = values.select("table_name", "column_name", "day", "value")
+    # a day without any cuts to compare with has no bucket
+    x = values.select("table_name", "column_name", "day", "value").join(c, ["table_name", "column_name", "day"])
     buckets = []
-    for name, k in roles:
-        look = c.select(
-            "table_name", "column_name", F.col("cut_day").alias(f"d_{name}"), F.col("cuts").alias(f"c_{name}")
-        )
-        x = x.withColumn(f"d_{name}", F.date_sub(day, k)).join(look, ["table_name", "column_name", f"d_{name}"], "left")
+    for name, _ in roles:
         b = bucket_of(F.col("value"), F.col(f"c_{name}"), null_bucket, max_cuts)
         applies = F.col(f"c_{name}").isNotNull()
         if current is not None:
@@ -307,7 +313,7 @@ def resolve_cuts(
     if days is not None:
         have = have.where(F.col("partition_value").isin(list(days)))
     have_keys = have.select(
-        "table_name", "column_name", (F.col("partition_value").cast("date") if key == "day" else F.col("partition_value")).alias(key)
+        "table_name", "column_name", (F.col("partition_value").try_cast("date") if key == "day" else F.col("partition_value")).alias(key)
     )
     missing = src.join(bounded_broadcast(have_keys, max_rows), ["table_name", "column_name", key], "left_anti")
     new = compute_cuts(missing, bins, accuracy)
@@ -334,7 +340,7 @@ def drift(
     partition of the table with its references. Only the needed days are
     scanned when ``today`` is given (range filters pushed to the scan).
     """
-    return drift_with_cuts(
+    return drift_parts(
         df, table_name, partitioning, columns, today, references, bins, threshold, saved_cuts, accuracy, null_bucket, ts
     )[0]
 
@@ -354,13 +360,34 @@ def drift_with_cuts(
     ts: datetime | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(drift rows, newly computed cuts as CUTS rows to append to the saved cuts)."""
-    p = as_partitioning(partitioning)
+    return drift_parts(
+        df, table_name, partitioning, columns, today, references, bins, threshold, saved_cuts, accuracy, null_bucket, ts
+    )[:2]
+
+
+def drift_parts(
+    df: DataFrame,
+    table_name: str,
+    partitioning: Partitioning | str,
+    columns: Sequence[str],
+    today: str | Sequence[str] | None = None,
+    references: Sequence[Reference] = DEFAULT_REFERENCES,
+    bins: int = S.DRIFT_BINS,
+    threshold: float = S.PSI_THRESHOLD,
+    saved_cuts: DataFrame | None = None,
+    accuracy: int = S.QUANTILE_ACCURACY,
+    null_bucket: str = "own",
+    ts: datetime | str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(drift rows, newly computed cuts as CUTS rows, all cuts that were used)."""
+    p = _day_partitioning(partitioning)
     current = [today] if isinstance(today, str) else (list(today) if today is not None else None)
     if current is not None:
         current = [c for c in current if _is_day(c)]
         if not current:
             empty = df.sparkSession.createDataFrame([], S.DRIFT)
-            return empty, df.sparkSession.createDataFrame([], S.CUTS)
+            none = df.sparkSession.createDataFrame([], S.CUTS)
+            return empty, none, none
         ref_days = _reference_days(current, references)
         src = df.where(p.where_in(df, sorted(set(current) | set(ref_days))))
         bound = len(columns) * len(ref_days)
@@ -389,39 +416,42 @@ def drift_with_cuts(
         "table_name", "column_name", "partition_value", F.col("cuts").cast("array<double>").alias("cuts"),
         lit_ts(ts).alias("created_at"),
     )
-    return out, created
+    return out, created, cuts
 
 
 def reference_missing(
-    df: DataFrame,
+    cuts: DataFrame,
     table_name: str,
-    partitioning: Partitioning | str,
     columns: Sequence[str],
-    today: str,
+    today: str | Sequence[str] | DataFrame,
     references: Sequence[Reference] = DEFAULT_REFERENCES,
     as_of: date | datetime | str | None = None,
 ) -> DataFrame:
-    """Metric ``reference_missing`` = 1 per (column, reference day) with no non-null value."""
-    p = as_partitioning(partitioning)
-    if not _is_day(today):
-        return df.sparkSession.createDataFrame([], S.METRIC)
-    ref_days = _reference_days([today], references)
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(
-        [(table_name, c, d) for c in columns for d in ref_days], "table_name string, column_name string, partition_value string"
-    )
-    keys = ["table_name", "column_name", "partition_value"]
-    present = (
-        long_values(df.where(p.where_in(df, ref_days)), table_name, p, columns)
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(*keys)
+    """Metric ``reference_missing`` = 1 per (day, column, reference day) without cuts, that is without a value.
+
+    ``today`` is one day, several, or a frame with ``partition_value``. For a
+    frame (all days of a table) reference days before its first day are not
+    missing: the table did not exist yet.
+    """
+    spark = cuts.sparkSession
+    if isinstance(today, DataFrame):
+        days = today.select(F.col("partition_value").try_cast("date").alias("day")).where("day IS NOT NULL").distinct()
+    else:
+        listed = [today] if isinstance(today, str) else list(today)
+        days = spark.createDataFrame([(d,) for d in listed if _is_day(d)], "d string").select(F.col("d").cast("date").alias("day"))
+    # days are one row per partition; the few columns and references multiply them
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(r.days).alias("k")) for c in columns for r in references])
+    wanted = days.select("day", F.inline(each)).withColumn("ref_day", F.date_sub("day", F.col("k"))).drop("k").distinct()
+    if isinstance(today, DataFrame):
+        first = days.agg(F.min("day")).first()[0]
+        wanted = wanted.where(F.col("ref_day") >= F.lit(first))
+    have = cuts.where((F.col("table_name") == table_name) & (F.size("cuts") > 0)).select(
+        "column_name", F.col("partition_value").try_cast("date").alias("ref_day")
     )
-    missing = wanted.join(present, ["table_name", "column_name", "partition_value"], "left_anti")
+    missing = wanted.join(have, ["column_name", "ref_day"], "left_anti")
     return metric_rows(
-        missing, F.col("table_name"), F.lit(today), lit_date(as_of), F.lit("reference_missing"), F.lit(1.0),
-        str_map(column=F.col("column_name"), reference_partition=F.col("partition_value")),
+        missing, F.lit(table_name), F.date_format("day", "yyyy-MM-dd"), lit_date(as_of), F.lit("reference_missing"), F.lit(1.0),
+        str_map(column=F.col("column_name"), reference_partition=F.date_format("ref_day", "yyyy-MM-dd")),
     )
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import str_map
+from tablepulse.functions.exprs import partition_key_details, str_map
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 from tablepulse.operators.results import metric_date_of, metric_rows, pass_severity, rule_rows
 
@@ -45,14 +45,18 @@ def null_ratio_by_partition(
     return null_ratio_metrics(long, p.column if p is not None else None, as_of)
 
 
-def null_ratio_metrics(long: DataFrame, partition_key: str | None = None, as_of: date | datetime | str | None = None) -> DataFrame:
+def null_ratio_metrics(
+    long: DataFrame, partition_key: str | Mapping[str, str] | None = None, as_of: date | datetime | str | None = None
+) -> DataFrame:
     """``null_ratio`` metrics from the long counts ``table_name, partition_value, record_count, column_name, null_count``."""
     details = str_map(
         column=F.col("column_name"),
         null_count=F.col("null_count").cast("string"),
         record_count=F.col("record_count").cast("string"),
-        **({"partitionKey": partition_key} if partition_key is not None else {}),
+        **({"partitionKey": partition_key} if isinstance(partition_key, str) else {}),
     )
+    if isinstance(partition_key, Mapping):
+        details = F.map_concat(details, partition_key_details(partition_key))
     return metric_rows(
         long,
         F.col("table_name"),

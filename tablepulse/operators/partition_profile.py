@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablepulse.functions.exprs import as_instant
+from tablepulse.functions.exprs import as_instant, nan_to_null
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 
 
@@ -31,7 +31,7 @@ def partition_profile(
     p = as_partitioning(partitioning)
     aggs = [F.count(F.lit(1)).alias("record_count")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(null_columns)]
-    aggs += [F.avg(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(average_columns)]
+    aggs += [F.avg(nan_to_null(F.col(c))).alias(f"a{i}") for i, c in enumerate(average_columns)]
     if time_column:
         aggs.append(F.max(F.col(time_column)).alias("max_ts"))
     return df.groupBy(p.value().alias("partition_value")).agg(*aggs).withColumn("table_name", F.lit(table_name))
@@ -41,22 +41,6 @@ def stats_of(pp: DataFrame) -> DataFrame:
     return pp.select("table_name", "partition_value", "record_count")
 
 
-def null_counts_of(pp: DataFrame, null_columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count")) for i, c in enumerate(null_columns)])
-    return pp.select("table_name", "partition_value", "record_count", F.inline(pairs))
-
-
-def averages_of(pp: DataFrame, average_columns: Sequence[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("average")) for i, c in enumerate(average_columns)])
-    return pp.select("table_name", "partition_value", F.col("record_count").alias("rows"), F.inline(pairs))
-
-
-def history_of(pp: DataFrame) -> DataFrame:
-    """``table_name, made_current_at``: the newest time value over all partitions."""
-    newest = pp.groupBy("table_name").agg(F.max("max_ts").alias("m"))
-    return newest.select("table_name", as_instant(F.col("m"), pp.schema["max_ts"].dataType).alias("made_current_at"))
-
-
 def normalized_profile(
     pp: DataFrame, null_columns: Sequence[str] = (), average_columns: Sequence[str] = (), has_time: bool = False
 ) -> DataFrame:

@@ -33,7 +33,8 @@ def _event(behavior: Column, table: Column, partition: Column, ts: Column, key:
         table.alias("table_name"),
         partition.cast("string").alias("partition_value"),
         ts.alias("ts"),
-        F.create_map(key, value.cast("double")).alias("metrics"),
+        # the optimizer may compute this before rows without a key are filtered out
+        F.create_map(F.coalesce(key, F.lit("")), value.cast("double")).alias("metrics"),
         extra.cast("map<string,string>").alias("extra"),
     ]
 

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import change_ratio, parse_iso_date, str_map
+from tablepulse.functions.exprs import change_ratio, parse_iso_date, partition_key_details, str_map
 from tablepulse.operators.results import metric_date_of, metric_rows
 
 
 def row_count_changes(
     stats: DataFrame,
-    partition_key: str | None = None,
-    last: int | None = S.ROW_COUNT_LAST_PARTITIONS,
+    partition_key: str | Mapping[str, str] | None = None,
+    last: int | None = None,
     direction: str = "previous",
     as_of: date | datetime | str | None = None,
     steps: tuple[int, int] = (1, 7),
@@ -24,8 +25,10 @@ def row_count_changes(
 
     Partitions are ordered by value within each table (statistics are one row
     per partition, so each window holds one table's partition list). Only the
-    newest ``last`` partitions report, after the lag is taken.
+    newest ``last`` partitions report (all by default), after the lag is taken.
     ``direction="next"`` compares with the following partition instead.
+    Rows without a partition value are no partition: they are left out of the
+    comparison and reported as ``null_partition_row_count``.
     """
     if direction not in ("previous", "next"):
         raise ValueError("direction must be 'previous' or 'next'")
@@ -34,7 +37,7 @@ def row_count_changes(
     newest = Window.partitionBy("table_name").orderBy(F.col("partition_value").desc())
     rc = F.col("record_count").cast("double")
     s1, s7 = steps
-    x = stats.select(
+    x = stats.where(F.col("partition_value").isNotNull()).select(
         "table_name",
         "partition_value",
         rc.alias("rc"),
@@ -49,7 +52,12 @@ def row_count_changes(
         F.struct(F.lit("row_count_wow_delta").alias("n"), change_ratio(F.col("rc"), F.col("prev7")).alias("v")),
     )
     long = x.select("table_name", "partition_value", F.inline(pairs)).where(F.col("v").isNotNull())
-    details = str_map(partitionKey=partition_key) if partition_key else None
+    lost = stats.where(F.col("partition_value").isNull() & (rc > 0))
+    long = long.unionByName(lost.select("table_name", "partition_value", F.lit("null_partition_row_count").alias("n"), rc.alias("v")))
+    if isinstance(partition_key, Mapping):
+        details = partition_key_details(partition_key)
+    else:
+        details = str_map(partitionKey=partition_key) if partition_key else None
     return metric_rows(
         long,
         F.col("table_name"),

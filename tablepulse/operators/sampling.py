@@ -15,22 +15,19 @@ from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
 
-KEY_BUCKETS = 10_000
+HASH_RANGE = 1 << 32
 
 
 def sample_bernoulli(df: DataFrame, fraction: float = S.SAMPLE_FRACTION, seed: int = S.SAMPLE_SEED) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
-def key_bucket(key_cols: Sequence[str]) -> Column:
-    """0..9999 from the first 32 bits of md5 over the key text (nulls and separators made explicit)."""
-    if len(key_cols) == 1:
-        text = F.col(key_cols[0]).cast("string")
-    else:
-        text = F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in key_cols])
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % KEY_BUCKETS).cast("int")
+def key_hash(key_cols: Sequence[str]) -> Column:
+    """The first 32 bits of md5 over the key text (nulls and separators made explicit)."""
+    text = F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in key_cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def sample_by_key(df: DataFrame, key_cols: Sequence[str], fraction: float = S.SAMPLE_FRACTION) -> DataFrame:
-    """Rows whose key bucket is below ``fraction * 10000`` (deterministic, layout-free)."""
-    return df.where(key_bucket(key_cols) < F.lit(int(round(fraction * KEY_BUCKETS))))
+    """Rows whose key hash is below ``fraction * 2**32`` (deterministic, layout-free; null keys are keys)."""
+    return df.where(key_hash(key_cols) < F.lit(int(round(fraction * HASH_RANGE))))

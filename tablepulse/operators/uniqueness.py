@@ -57,25 +57,23 @@ def pk_duplicates(
         summary = per_key.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct_keys")
         )
-        # the k most repeated keys (ties by key text), as an ordered array
+        # the k most repeated keys (ties by key text): k rows that join the summary row by a union
         top = (
             per_key.where(F.col("n") > 1)
-            .select((-F.col("n")).alias("neg_n"), key_text(key_cols).alias("k"))
-            .orderBy("neg_n", "k")
+            .select(F.struct((-F.col("n")).alias("neg_n"), key_text(key_cols).alias("k")).alias("ex"))
+            .orderBy("ex")
             .limit(examples)
-            .agg(F.array_sort(F.collect_list(F.struct("neg_n", "k"))).alias("ex"))
-            .select(F.transform("ex", lambda e: e["k"]).alias("examples"))
+        )
+        summary = summary.unionByName(top, allowMissingColumns=True).agg(
+            F.max("total").alias("total"),
+            F.max("distinct_keys").alias("distinct_keys"),
+            F.transform(F.array_sort(F.collect_list("ex")), lambda e: e["k"]).alias("examples"),
         )
     else:
         summary = df.agg(
             F.count(F.lit(1)).alias("total"), F.approx_count_distinct(composite_key(key_cols), rsd).alias("distinct_keys")
-        )
-        top = None
+        ).withColumn("examples", F.array().cast("array<string>"))
     summary = summary.withColumn("table_name", F.lit(table_name))
-    if top is not None:
-        summary = summary.join(top.withColumn("table_name", F.lit(table_name)), "table_name", "left")
-    else:
-        summary = summary.withColumn("examples", F.array().cast("array<string>"))
     total = F.col("total").cast("double")
     rate = F.when(F.col("total") == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 1.0 - F.col("distinct_keys") / total))
     x = summary.withColumn("dup_rate", rate).withColumn(

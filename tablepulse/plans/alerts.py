@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from tablepulse.operators.dispatch import Channel, audit_rows, messages
+from tablepulse.operators.dispatch import Channel, audit_rows, capped, messages
 from tablepulse.operators.policy import evaluate, events_from_results
 from tablepulse.plans.profile import Profile
 from tablepulse.session import checkpointed
@@ -19,6 +19,8 @@ class AlertRun:
     decisions: DataFrame
     messages: DataFrame
     audit: DataFrame
+    suppressed_messages: int
+    suppressed_alerts: int
 
 
 def run_alerts(
@@ -31,9 +33,12 @@ def run_alerts(
 ) -> AlertRun:
     """The alert path over a profile's results (the caller writes or sends the frames).
 
-    Decisions (one per event: partitions x checks, not rows) are checkpointed
+    ``suppressed_messages`` and ``suppressed_alerts`` count what the channel's cap
+    holds back; the last message says so, too. Decisions (one per event: partitions x checks, not rows) are checkpointed
     once, so messages and audit rows read the same decided alerts.
     """
     ev = events_from_results(profile.metrics, profile.drift, run_ts)
     dec = checkpointed(evaluate(ev, rules, max_rule_rows))
-    return AlertRun(ev, dec, messages(dec, channel, dedup=dedup, cap=True), audit_rows(dec, channel.level))
+    # messages are one row per batch of alerts: counting those beyond the cap reads the checkpointed alerts
+    sent, held_messages, held_alerts = capped(messages(dec, channel, dedup=dedup, cap=False), channel.max_messages)
+    return AlertRun(ev, dec, sent, audit_rows(dec, channel.level), held_messages, held_alerts)

@@ -44,22 +44,23 @@ def months(first: str, last: str) -> list[str]:
 EVENT_DAYS = days("2024-01-01", "2024-02-01")
 ORDER_MONTHS = months("1995-01", "2001-09")
 
-# rule settings of the demo run: the documented defaults plus two table overrides
+# rule settings of the demo run: every value differs from the built-in one, so a merge error shows
 RULES_CONFIG = {
     "default": {
-        "availability": {"enabled": True, "severity": "critical"},
-        "freshness": {"enabled": True, "stale_hours": 24, "severity": "warn"},
-        "drift": {"enabled": True, "threshold": 0.30, "severity": "warn"},
-        "null_ratio": {"enabled": True, "threshold": 0.20, "severity": "warn"},
-        "row_count_dod": {"enabled": True, "threshold": 0.20, "severity": "warn"},
-        "average_change": {"enabled": True, "threshold": 0.20, "severity": "warn"},
+        "availability": {"enabled": True, "severity": "Warn"},
+        "freshness": {"enabled": True, "stale_hours": 36, "severity": "Critical"},
+        "drift": {"enabled": True, "threshold": 0.25, "severity": "Critical"},
+        "null_ratio": {"enabled": True, "threshold": 0.15, "severity": "Critical"},
+        "row_count_dod": {"enabled": True, "threshold": 0.35, "severity": "Critical"},
+        "average_change": {"enabled": True, "threshold": 0.12, "severity": "Info"},
     },
     "overrides": {
-        "events": {"drift": {"threshold": 0.10, "severity": "critical"}},
-        "documents": {"null_ratio": {"enabled": False}},
+        "lineitem": {"average_change": {"threshold": 0.05}},
+        "orders": {"row_count_dod": {"enabled": False}, "freshness": {"severity": "Warn"}},
+        "events": {"drift": {"threshold": 0.08, "severity": "Warn"}},
     },
 }
-RULES_ROWS = 8
+RULES_ROWS = 10
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,9 +120,9 @@ def rules(spark: SparkSession) -> DataFrame:
     return rules_from_config(spark, RULES_CONFIG)
 
 
-CHANNEL_BASIC = Channel(level="basic", channel="#dq-alerts", mentions={"CRITICAL": "@oncall"})
-CHANNEL_ADVANCED = Channel(level="advanced", channel="#dq-alerts", mentions={"CRITICAL": "@oncall"})
-CHANNEL_DETAILED = Channel(level="detailed", channel="#dq-alerts", mentions={"CRITICAL": "@oncall"})
+CHANNEL_BASIC = Channel(level="basic", channel="table-health", mentions={"CRITICAL": "@duty"})
+CHANNEL_ADVANCED = Channel(level="advanced", channel="table-health", mentions={"CRITICAL": "@duty"})
+CHANNEL_DETAILED = Channel(level="detailed", channel="table-health", mentions={"CRITICAL": "@duty"})
 
 
 def with_null_segment(df: DataFrame) -> DataFrame:

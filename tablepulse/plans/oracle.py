@@ -13,7 +13,7 @@ Q9 = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
 Q4 = "[0.25, 0.5, 0.75]"
 Q5 = "[0.2, 0.4, 0.6, 0.8]"
 SEV_RANK = "CASE severity WHEN 'CRITICAL' THEN 0 WHEN 'WARN' THEN 1 WHEN 'INFO' THEN 2 ELSE 3 END"
-PREFIX = "[spark-dq-profiler|dev] "
+PREFIX = "[tablepulse|dev] "
 
 
 def metric_date(p: str) -> str:
@@ -73,11 +73,11 @@ ROWCOUNT = """rc AS (
 rc_metrics AS (
   SELECT table_name, partition_value, 'row_count_dod_delta' AS metric_name,
          CASE WHEN prev1 = 0 THEN 0.0 ELSE (rc - prev1) / prev1 END AS metric_value
-  FROM rc WHERE age_rank <= 8 AND prev1 IS NOT NULL
+  FROM rc WHERE prev1 IS NOT NULL
   UNION ALL
   SELECT table_name, partition_value, 'row_count_wow_delta',
          CASE WHEN prev7 = 0 THEN 0.0 ELSE (rc - prev7) / prev7 END
-  FROM rc WHERE age_rank <= 8 AND prev7 IS NOT NULL)"""
+  FROM rc WHERE prev7 IS NOT NULL)"""
 
 DOCS = """docs AS (SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 
@@ -169,14 +169,16 @@ EV_VALUES = values_cte("ev_vals", "events", "strftime(ts, '%Y-%m-%d')", ["value"
 EV_DRIFT = f"{EV_VALUES}, {cuts_cte('ev_cuts', 'ev_vals')}, {hist_cte('ev_hist', 'ev_vals', 'ev_cuts')}, {psi_cte('ev_psi', 'ev_hist')}"
 
 RULES = """rules_cfg AS (SELECT * FROM (VALUES
-    (NULL, 'availability', true, NULL, NULL, 'CRITICAL'),
-    (NULL, 'freshness', true, NULL, 24, 'WARN'),
-    (NULL, 'drift', true, 0.30, NULL, 'WARN'),
-    (NULL, 'null_ratio', true, 0.20, NULL, 'WARN'),
-    (NULL, 'row_count_dod', true, 0.20, NULL, 'WARN'),
-    (NULL, 'average_change', true, 0.20, NULL, 'WARN'),
-    ('events', 'drift', NULL, 0.10, NULL, 'CRITICAL'),
-    ('documents', 'null_ratio', false, NULL, NULL, NULL))
+    (NULL, 'availability', true, NULL, NULL, 'WARN'),
+    (NULL, 'freshness', true, NULL, 36, 'CRITICAL'),
+    (NULL, 'drift', true, 0.25, NULL, 'CRITICAL'),
+    (NULL, 'null_ratio', true, 0.15, NULL, 'CRITICAL'),
+    (NULL, 'row_count_dod', true, 0.35, NULL, 'CRITICAL'),
+    (NULL, 'average_change', true, 0.12, NULL, 'INFO'),
+    ('lineitem', 'average_change', NULL, 0.05, NULL, NULL),
+    ('orders', 'row_count_dod', false, NULL, NULL, NULL),
+    ('orders', 'freshness', NULL, NULL, NULL, 'WARN'),
+    ('events', 'drift', NULL, 0.08, NULL, 'WARN'))
   t(table_name, behavior, enabled, threshold, stale_hours, severity))"""
 
 EVENTS = f"""{COUNTS}, {HISTORY}, {AGE}, {ROWCOUNT}, {NULLS}, {AVGS}, {EV_DRIFT},
@@ -211,7 +213,7 @@ dec0 AS (
   FROM resolved),
 dec1 AS (SELECT *, CASE WHEN behavior = 'availability' THEN act < 1.0 ELSE act > lim END AS send FROM dec0),
 decisions AS (
-  SELECT behavior, table_name, partition_value,
+  SELECT behavior, table_name, partition_value, column_name, reference,
     CASE WHEN NOT enabled THEN metric_value ELSE act END AS actual,
     CASE WHEN NOT enabled THEN CASE WHEN behavior IN ('availability', 'freshness') THEN NULL ELSE threshold END
          WHEN behavior = 'availability' THEN NULL ELSE lim END AS threshold,
@@ -242,7 +244,9 @@ decisions AS (
 
 FLAT_DEC = "SELECT behavior, table_name, partition_value, round(actual, 6) AS actual, threshold, severity, message, status, reason, alert_key FROM decisions"
 
-ALERT_COLS = "behavior, table_name, partition_value, actual, threshold, severity, message, alert_key"
+# what an alert is about beyond its key
+SUBJECT = "concat_ws('/', column_name, reference)"
+ALERT_COLS = "behavior, table_name, partition_value, column_name, reference, actual, threshold, severity, message, alert_key"
 
 
 def sendable(level: str) -> str:
@@ -257,8 +261,8 @@ def sendable(level: str) -> str:
 
 def dedup(src: str) -> str:
     return (
-        f"SELECT {ALERT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY alert_key ORDER BY {SEV_RANK}, table_name, "
-        f"coalesce(partition_value, ''), behavior, message, actual) AS rn FROM ({src})) WHERE rn = 1"
+        f"SELECT {ALERT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY alert_key ORDER BY {SEV_RANK}, actual DESC, "
+        f"message, {SUBJECT}) AS rn FROM ({src})) WHERE rn = 1"
     )
 
 
@@ -266,12 +270,12 @@ def numbered(src: str, batch: int = 10) -> str:
     return (
         f"SELECT *, seq // {batch} AS batch_no, (seq % {batch})::INTEGER AS position FROM ("
         f"SELECT *, (row_number() OVER (ORDER BY {SEV_RANK}, table_name NULLS FIRST, partition_value NULLS FIRST, behavior, "
-        f"alert_key, message, actual) - 1)::BIGINT AS seq FROM ({src}))"
+        f"alert_key, message, actual, {SUBJECT}) - 1)::BIGINT AS seq FROM ({src}))"
     )
 
 
 def text_expr(mention: bool = True) -> str:
-    m = "CASE WHEN severity = 'CRITICAL' THEN ' @oncall' ELSE '' END" if mention else "''"
+    m = "CASE WHEN severity = 'CRITICAL' THEN ' @duty' ELSE '' END" if mention else "''"
     return (
         f"'{PREFIX}' || table_name || CASE WHEN partition_value IS NULL THEN '' ELSE '/' || partition_value END || ' ' || "
         f"behavior || ' ' || severity || ': ' || message || ' actual=' || printf('%.4f', actual) || "
@@ -288,9 +292,17 @@ def messages_sql(src: str, cap: int | None) -> str:
         "concat_ws(', ', CASE WHEN n_c > 0 THEN 'CRITICAL=' || n_c END, CASE WHEN n_w > 0 THEN 'WARN=' || n_w END, "
         "CASE WHEN n_i > 0 THEN 'INFO=' || n_i END)"
     )
-    capped = f"WHERE batch_no < {cap}" if cap is not None else ""
+    capped = f"QUALIFY batch_no < {cap}" if cap is not None else ""
+    held = "count(*) FILTER (WHERE batch_no >= {0}) OVER ()".format(cap)
+    held_alerts = "sum(CASE WHEN batch_no >= {0} THEN alerts ELSE 0 END) OVER ()".format(cap)
+    note = (
+        f" || CASE WHEN batch_no = {cap - 1} AND {held} > 0 THEN ' (+' || ({held_alerts})::BIGINT || ' alerts in ' || {held} "
+        "|| ' more messages not sent)' ELSE '' END"
+        if cap is not None
+        else ""
+    )
     return f"""SELECT batch_no, alerts,
-    CASE WHEN alerts = 1 THEN single ELSE '{PREFIX}' || alerts || ' alerts (' || {counts} || ')' END AS text,
+    CASE WHEN alerts = 1 THEN single ELSE '{PREFIX}' || alerts || ' alerts (' || {counts} || ')' END{note} AS text,
     CASE WHEN alerts = 1 THEN NULL ELSE items END AS items
   FROM (
     SELECT batch_no, count(*)::BIGINT AS alerts, min({text_expr()}) AS single,
@@ -408,7 +420,7 @@ SQL: dict[str, str] = {
         severity, threshold, stale_hours FROM resolved""",
     "load_cuts": f"WITH {EV_VU}, {cuts_cte('c', 'vu_vals')} {cuts_exploded('c')}",
     "sample_by_key": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-        WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT % 10000 < 100""",
+        WHERE ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT < 42949673""",
     "store_projection": f"""WITH {COUNTS}, {AVAIL_RULES}, {pk_rule('lineitem', ['l_orderkey', 'l_linenumber'], 'pk_l')}
         SELECT *, '2024-01-31 12:00:00.000000' AS ts, '2024-01-31' AS ts_date FROM (
           {flat_rules('avail_rules')} UNION ALL {flat_rules('pk_l')})""",
@@ -539,3 +551,56 @@ SQL["store_partition_info"] = f"""WITH {AVGS}, cnt AS (
   SELECT a.table_name, a.partition_value, c.rows, a.column_name, round(a.average, 6) AS average
   FROM avg_long a JOIN cnt c ON c.table_name = a.table_name AND c.partition_value = a.partition_value"""
 SQL["store_alerts"] = f"WITH {DECISIONS} {FLAT_DEC} WHERE status = 'sent'"
+
+# the reference days of an all-days run that lie within the table but have no cuts
+MISSING = """ev_days AS (SELECT DISTINCT p::DATE AS d FROM ev_vals),
+missing AS (
+  SELECT 'events' AS table_name, strftime(d, '%Y-%m-%d') AS partition_value, 'reference_missing' AS metric_name, 1.0::DOUBLE AS metric_value
+  FROM ev_days, (VALUES (1), (7)) t(k)
+  WHERE d - k >= (SELECT min(d) FROM ev_days) AND strftime(d - k, '%Y-%m-%d') NOT IN (SELECT cp FROM ev_cuts WHERE column_name = 'value'))"""
+MISSING_ROWS = "SELECT 'metric', table_name, partition_value, metric_name, metric_value, NULL, NULL FROM missing"
+SQL["run_drift"] = f"{RUN_DRIFT}, {MISSING} " + FINDINGS.format(f"(SELECT * FROM dr UNION ALL {MISSING_ROWS})")
+SQL["run_all"] = (
+    ", ".join([RUN_AVAIL, RUN_RULES[len("WITH "):], RUN_DRIFT[len("WITH "):], MISSING])
+    + " "
+    + FINDINGS.format(f"(SELECT * FROM av UNION ALL SELECT * FROM ru UNION ALL SELECT * FROM dr UNION ALL {MISSING_ROWS})")
+)
+SQL["partition_stats_metadata"] = """SELECT 'orders' AS table_name, strftime(o_orderdate, '%Y-%m') AS partition_value,
+    count(*) FILTER (WHERE o_orderstatus <> 'P')::BIGINT AS record_count FROM orders GROUP BY 1, 2"""
+SQL["latest_snapshot_files"] = "SELECT unnest(['events', 'orders', 'lineitem']) AS table_name, true AS known"
+SQL["freshness_history"] = f"""WITH {HISTORY}, {AGE}, {FRESH_METRICS}, {FRESH_RULES.replace('TBLS', "['events', 'orders', 'lineitem', 'labels']")}
+  SELECT table_name, metric_name AS name, metric_value AS value, NULL::VARCHAR AS observed FROM fresh_metrics
+  UNION ALL SELECT table_name, rule_id, fail_rate, observed FROM fresh_rules"""
+SQL["sample_bernoulli"] = "SELECT count(*)::BIGINT AS table_rows, true AS share_ok, 0::BIGINT AS foreign_rows FROM lineitem"
+SQL["pk_duplicates_approx"] = """SELECT 'lineitem' AS table_name, 'pk_duplicates' AS rule_id, false AS passed, count(*)::BIGINT AS sampled_rows,
+    true AS close FROM lineitem"""
+SQL["alert_payload"] = f"""WITH {DECISIONS}, payload AS ({messages_sql(dedup(sendable('advanced')), None)})
+  SELECT batch_no, alerts, 2 AS blocks, text AS first_text, items AS second_text FROM payload"""
+SQL["sink_tables"] = f"""{RUN_AVAIL} SELECT 'metrics' AS kind, count(*)::BIGINT AS rows FROM av WHERE kind = 'metric'
+  UNION ALL SELECT 'rules', count(*)::BIGINT FROM av WHERE kind = 'rule' UNION ALL SELECT 'drift', 0::BIGINT UNION ALL SELECT 'cuts', 0::BIGINT"""
+SQL["write_telemetry"] = f"""WITH {ORDER_STATS} SELECT 'success' AS status, NULL::VARCHAR AS error, count(*)::BIGINT AS rows FROM ostats
+  UNION ALL SELECT 'failure', 'AnalysisException', NULL"""
+RUN_DAYS = "('2024-01-10', '2024-01-11', '2024-01-20')"
+SQL["run_partitions"] = f"""WITH {STATS}, {ROWCOUNT}, {EV_DRIFT}, {NULLS},
+  pk AS (SELECT count(*)::BIGINT AS total, count(DISTINCT event_id)::BIGINT AS d FROM events WHERE strftime(ts, '%Y-%m-%d') IN {RUN_DAYS}),
+  avgs AS (SELECT strftime(ts, '%Y-%m-%d') AS p, avg(value) AS average FROM events WHERE strftime(ts, '%Y-%m-%d') IN {RUN_DAYS} GROUP BY 1),
+  lagged AS (SELECT p, average, lag(average) OVER (ORDER BY p) AS prev FROM avgs),
+  f AS (
+    SELECT 'metric' AS kind, table_name, partition_value, metric_name AS name, metric_value AS value, NULL::BOOLEAN AS passed, NULL::VARCHAR AS severity
+      FROM rc_metrics WHERE table_name = 'events' AND partition_value IN {RUN_DAYS}
+    UNION ALL SELECT 'metric', table_name, partition_value, n, v, NULL, NULL FROM (
+      SELECT table_name, partition_value, unnest(['partition_row_count', 'partition_exists']) AS n, unnest([record_count::DOUBLE, 1.0]) AS v
+      FROM stats WHERE table_name = 'events' AND partition_value IN {RUN_DAYS})
+    UNION ALL SELECT 'metric', table_name, partition_value, metric_name, metric_value, NULL, NULL FROM null_metrics
+      WHERE table_name = 'events' AND column_name = 'value' AND partition_value IN {RUN_DAYS}
+    UNION ALL SELECT 'metric', 'events', p, 'average_change', (average - prev) / prev, NULL, NULL FROM lagged WHERE prev IS NOT NULL
+    UNION ALL SELECT 'rule', 'events', NULL, 'pk_duplicates', 1.0 - d::DOUBLE / total::DOUBLE, d = total, CASE WHEN d = total THEN 'medium' ELSE 'high' END FROM pk
+    UNION ALL SELECT 'drift', table_name, partition_value, column_name || '_psi_' || ref_name, score, NULL, CASE WHEN score >= 0.2 THEN 'high' ELSE 'medium' END
+      FROM ev_psi WHERE partition_value IN {RUN_DAYS})
+  {FINDINGS.format('f')}"""
+SQL["run_write"] = (
+    ", ".join([RUN_AVAIL, RUN_RULES[len("WITH "):], RUN_DRIFT[len("WITH "):], MISSING])
+    + f""" SELECT kind, table_name, partition_value, name, round(value, 6) AS value FROM (
+      SELECT * FROM av UNION ALL SELECT * FROM ru UNION ALL SELECT * FROM dr UNION ALL {MISSING_ROWS}
+      UNION ALL SELECT 'cuts', table_name, cp, column_name, list_sum(cuts), NULL, NULL FROM ev_cuts)"""
+)

@@ -1,7 +1,8 @@
 """Profile runs over several tables and the partition tables built from them.
 
-A run is one plan per result kind: each table contributes frames that are
-``unionByName``-ed, so Spark schedules all tables together. The per-table
+Checks that work per partition run once over all tables' rows; key duplicates,
+segment nulls and drift, whose columns differ, contribute one frame per table,
+which are ``unionByName``-ed, so Spark schedules all tables together. The per-table
 partition aggregate (counts, null counts, averages, newest time) is
 computed by one scan per table; all tables' aggregates are unioned and
 checkpointed in one job when the run is built; the checks read that small
@@ -10,7 +11,7 @@ frame.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from tablepulse import schemas as S
 from tablepulse.functions.partitioning import Partitioning
 from tablepulse.operators import availability as A
-from tablepulse.operators.averages import average_change, average_change_metrics, partition_averages
-from tablepulse.operators.drift import drift_with_cuts, reference_missing
+from tablepulse.operators.averages import average_change_metrics, partition_averages
+from tablepulse.operators.drift import drift_parts, reference_missing
 from tablepulse.operators.nulls import (
     null_counts_by_partition,
     null_ratio_by_partition,
@@ -40,7 +41,9 @@ from tablepulse.operators.rowcounts import row_count_changes
 from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import pk_duplicates
 from tablepulse.session import checkpointed
-from tablepulse.sources.stats import history_from_column, partition_stats
+from tablepulse.sinks.storage import append_results
+from tablepulse.sources.scan import scan_partitions
+from tablepulse.sources.stats import history_from_column, latest_snapshot, partition_stats, stats_from_metadata
 
 MODES = ("availability", "rules", "drift", "all")
 
@@ -64,6 +67,9 @@ class TableSpec:
     history: DataFrame | None = None  # table_name, made_current_at (overrides time_column)
     stats: DataFrame | None = None  # table_name, partition_value, record_count (overrides counting)
     row_counts: bool = True  # report row-count change between consecutive partitions
+    partitions: Sequence[str] = ()  # only these are read and reported (drift also reads their reference days)
+    metadata: DataFrame | None = None  # a catalog's partitions table: counts (and the lag history) without reading rows
+    metadata_key: str | None = None  # its key column; the partition column by default
 
 
 @dataclass
@@ -92,6 +98,12 @@ class Profile:
         return m.unionByName(r).unionByName(d)
 
 
+def write_results(profile: Profile, names: Mapping[str, str]) -> None:
+    """Append a run's metrics, rules, drift rows and new cuts to their tables (``ensure_tables`` makes them)."""
+    for kind, frame in (("metrics", profile.metrics), ("rules", profile.rules), ("drift", profile.drift), ("cuts", profile.new_cuts)):
+        append_results(frame, kind, names[kind])
+
+
 def _union(spark: SparkSession, frames: list[DataFrame], schema) -> DataFrame:
     if not frames:
         return spark.createDataFrame([], schema)
@@ -101,9 +113,18 @@ def _union(spark: SparkSession, frames: list[DataFrame], schema) -> DataFrame:
     return out
 
 
-def table_stats(t: TableSpec) -> DataFrame | None:
+def known_stats(t: TableSpec) -> DataFrame | None:
+    """Row counts that need no scan: given ones, or those of a partitions metadata table."""
     if t.stats is not None:
-        return t.stats
+        return t.stats.select("table_name", "partition_value", F.col("record_count").cast("long").alias("record_count"))
+    if t.metadata is not None:
+        return stats_from_metadata(t.metadata, t.name, t.metadata_key or t.partitioning.column)
+    return None
+
+
+def table_stats(t: TableSpec) -> DataFrame | None:
+    if known_stats(t) is not None:
+        return known_stats(t)
     if t.partitioning is None:
         return None
     return partition_stats(t.df, t.name, t.partitioning)
@@ -123,6 +144,9 @@ def run_profile(
     dup_method: str = "exact",
     sample_fraction: float | None = None,
     sample_method: str = "key",
+    row_count_last: int | None = None,
+    quantile_accuracy: int = S.QUANTILE_ACCURACY,
+    dup_examples: int = 5,
 ) -> Profile:
     """Run ``mode`` (availability | rules | drift | all) over ``tables``.
 
@@ -130,7 +154,11 @@ def run_profile(
     rules: key duplicates, segment null rates, null ratio and average change.
     drift: PSI against the previous day and week (cuts reused when saved).
     ``sample_fraction`` samples the rows checked by the rules (by key when
-    ``sample_method="key"``); ``None`` checks every row.
+    ``sample_method="key"``); ``None`` checks every row. ``row_count_last``
+    reports row-count change for the newest partitions only, by default for
+    all. ``dup_examples`` is the number of example keys a duplicates rule shows.
+    A table's ``partitions`` restrict what is read and reported; its row-count
+    change then compares with the partitions that ``metadata`` or ``stats`` know.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -145,90 +173,92 @@ def run_profile(
     # history. It is small (one row per partition) and is checkpointed to the
     # session's checkpoint folder so that every check reads it instead of
     # rescanning the table (per-branch column pruning would defeat exchange reuse).
-    parts = []
+    parts, profiled = [], set()
     for t in tables:
-        if t.partitioning is not None and t.stats is None:
-            nulls = list(t.null_columns) if do("rules") else []
-            avgs = list(t.average_columns) if do("rules") else []
-            tcol = t.time_column if do("availability") and t.history is None else None
-            pp = partition_profile(t.df, t.name, t.partitioning, nulls, avgs, tcol)
-            parts.append(normalized_profile(pp, nulls, avgs, tcol is not None))
-    profiles: dict[str, DataFrame] = {}
+        nulls = list(t.null_columns) if do("rules") else []
+        avgs = list(t.average_columns) if do("rules") else []
+        tcol = t.time_column if do("availability") and t.history is None else None
+        counted_elsewhere = known_stats(t) is not None
+        if t.partitioning is not None and (not counted_elsewhere or nulls or avgs):
+            rows = scan_partitions(t.df, t.partitioning, t.partitions)
+            pp = partition_profile(rows, t.name, t.partitioning, nulls, avgs, None if counted_elsewhere else tcol)
+            pp = normalized_profile(pp, nulls, avgs, tcol is not None and not counted_elsewhere)
+            # counts come from the metadata where there is some
+            parts.append(pp.withColumn("counted", F.lit(not counted_elsewhere)))
+            profiled.add(t.name)
+    every = None
     if parts:
         every = parts[0]
         for x in parts[1:]:
             every = every.unionByName(x)
         every = checkpointed(every)  # one job for all tables
-        for t in tables:
-            if t.partitioning is not None and t.stats is None:
-                profiles[t.name] = every.where(F.col("table_name") == t.name)
 
-    def stats(t: TableSpec) -> DataFrame | None:
-        return stats_of(profiles[t.name]) if t.name in profiles else t.stats
+    # every check runs once over all tables' rows (table_name keeps them apart), so the plan does not grow with the tables
+    keys = {t.name: t.partitioning.column for t in tables if t.partitioning is not None}
+    named = {t.name for t in tables}
 
-    def history(t: TableSpec) -> DataFrame | None:
-        if t.history is not None:
-            return t.history
-        if not t.time_column:
-            return None
-        if t.name in profiles:
-            return history_of_normalized(profiles[t.name])
-        return history_from_column(t.df, t.name, t.time_column)
+    def only(df: DataFrame, names: Iterable[str]) -> DataFrame:
+        """The rows of some tables, of the partitions that the run is about."""
+        limited = {t.name: list(t.partitions) for t in tables if t.partitions}
+        wanted = F.col("table_name").isin(sorted(names))
+        for name, values in limited.items():
+            wanted = wanted & ((F.col("table_name") != name) | F.col("partition_value").isin(values))
+        return df.where(wanted) if set(names) != named or limited else df
 
     if do("availability"):
-        exp = {t.name: list(t.expected) for t in tables if t.expected and stats(t) is not None}
+        counted = [t for t in tables if t.partitioning is not None or known_stats(t) is not None]
+        stats = [stats_of(every.where("counted"))] if every is not None else []
+        stats = _union(spark, stats + [known_stats(t) for t in counted if known_stats(t) is not None], S.PARTITION_STATS)
+        exp = {t.name: [p for p in t.expected if not t.partitions or p in t.partitions] for t in counted if t.expected}
         if exp:
-            expected = A.expected_partitions(spark, exp)
             n_exp = sum(len(v) for v in exp.values())
-            for t in tables:
-                if t.name in exp:
-                    counts = A.partition_counts(stats(t), expected.where(F.col("table_name") == t.name), n_exp)
-                    pk = t.partitioning.column if t.partitioning else None
-                    metrics.append(A.availability_metrics(counts, pk, as_of))
-                    rules.append(A.availability_rules(counts, run_ts))
-        for t in tables:
-            st = stats(t) if t.row_counts else None
-            if st is not None:
-                metrics.append(row_count_changes(st, t.partitioning.column if t.partitioning else None, as_of=as_of))
-        hist = [(t.name, history(t)) for t in tables]
-        hist = [(n, h) for n, h in hist if h is not None]
-        if hist:
-            h = _union(spark, [x for _, x in hist], S.HISTORY)
+            counts = A.partition_counts(stats, A.expected_partitions(spark, exp), n_exp)
+            metrics.append(A.availability_metrics(counts, keys, as_of))
+            rules.append(A.availability_rules(counts, run_ts))
+        changing = [t.name for t in counted if t.row_counts]
+        if changing:
+            changes = row_count_changes(stats.where(F.col("table_name").isin(changing)), keys, row_count_last, as_of=as_of)
+            metrics.append(only(changes, changing))
+        names = [t.name for t in tables if t.history is not None or t.time_column]
+        if names:
+            hist = [t.history.select("table_name", F.col("made_current_at").cast("timestamp").alias("made_current_at")) for t in tables if t.history is not None]
+            if every is not None:
+                hist.append(history_of_normalized(every.where("max_ts IS NOT NULL")))
+            hist += [history_from_column(t.df, t.name, t.time_column) for t in tables if t.history is None and t.time_column and t.name not in profiled]
+            h = checkpointed(_union(spark, hist, S.HISTORY))
             metrics.append(A.freshness_metrics(h, as_of))
-            names = [n for n, _ in hist]
             rules.append(A.freshness_rules(A.table_list(spark, names), h, as_of, sla_hours, run_ts, len(names)))
     if do("rules"):
         for t in tables:
-            checked = t.df
+            checked = scan_partitions(t.df, t.partitioning, t.partitions)
             if sample_fraction is not None:
-                checked = sample_by_key(t.df, t.key_cols, sample_fraction) if sample_method == "key" and t.key_cols \
-                    else sample_bernoulli(t.df, sample_fraction)
+                checked = sample_by_key(checked, t.key_cols, sample_fraction) if sample_method == "key" and t.key_cols \
+                    else sample_bernoulli(checked, sample_fraction)
             if t.key_cols:
-                rules.append(pk_duplicates(checked, t.key_cols, t.name, method=dup_method, ts=run_ts))
+                rules.append(pk_duplicates(checked, t.key_cols, t.name, method=dup_method, examples=dup_examples, ts=run_ts))
             if t.segment_column:
                 rules.append(segment_nulls(checked, t.segment_column, t.segment_dims, null_threshold, t.name, run_ts))
-            pk = t.partitioning.column if t.partitioning else None
-            if t.null_columns:
-                if t.name in profiles:
-                    metrics.append(null_ratio_metrics(null_counts_of_normalized(profiles[t.name]), pk, as_of))
-                else:
-                    metrics.append(null_ratio_by_partition(t.df, t.name, t.partitioning, t.null_columns, as_of))
-            if t.average_columns and t.partitioning is not None:
-                if t.name in profiles:
-                    metrics.append(average_change_metrics(averages_of_normalized(profiles[t.name]), pk, as_of))
-                else:
-                    metrics.append(average_change(t.df, t.name, t.partitioning, t.average_columns, as_of))
+            if t.null_columns and t.name not in profiled:
+                metrics.append(null_ratio_by_partition(checked, t.name, t.partitioning, t.null_columns, as_of))
+        if every is not None:
+            if any(t.null_columns for t in tables):
+                metrics.append(null_ratio_metrics(null_counts_of_normalized(every), keys, as_of))
+            if any(t.average_columns for t in tables):
+                metrics.append(average_change_metrics(averages_of_normalized(every), keys, as_of))
     if do("drift"):
         for t in tables:
             if t.drift_columns and t.partitioning is not None:
-                d, c = drift_with_cuts(
-                    t.df, t.name, t.partitioning, t.drift_columns, t.today, bins=bins, threshold=psi_threshold,
-                    saved_cuts=saved_cuts, ts=run_ts,
+                today = t.today if t.today is not None else (list(t.partitions) or None)
+                d, c, used = drift_parts(
+                    t.df, t.name, t.partitioning, t.drift_columns, today, bins=bins, threshold=psi_threshold,
+                    saved_cuts=saved_cuts, accuracy=quantile_accuracy, ts=run_ts,
                 )
                 drifts.append(d)
                 cuts.append(c)
-                if t.today is not None:
-                    metrics.append(reference_missing(t.df, t.name, t.partitioning, t.drift_columns, t.today, as_of=as_of))
+                if today is None and t.name in profiled:
+                    today = every.where(F.col("table_name") == t.name)
+                if today is not None:
+                    metrics.append(reference_missing(used, t.name, t.drift_columns, today, as_of=as_of))
     return Profile(
         metrics=_union(spark, metrics, S.METRIC),
         rules=_union(spark, rules, S.RULE),
@@ -252,7 +282,7 @@ def partition_status(
         s = st.join(dod, ["table_name", "partition_value"], "left")
         if t.history is not None or t.time_column:
             h = t.history if t.history is not None else history_from_column(t.df, t.name, t.time_column)
-            age = A.snapshot_age(h, as_of).select("table_name", F.col("age_hours").cast("long").alias("snapshot_age_hours"))
+            age = A.snapshot_age(latest_snapshot(h), as_of).select("table_name", F.col("age_hours").cast("long").alias("snapshot_age_hours"))
             s = s.join(F.broadcast(age), "table_name", "left")  # one row per table
         else:
             s = s.withColumn("snapshot_age_hours", F.lit(None).cast("long"))

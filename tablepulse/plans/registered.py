@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
+from tablepulse.functions.exprs import as_instant
 from tablepulse.functions.partitioning import Partitioning
 from tablepulse.operators import availability as A
 from tablepulse.operators import dispatch as D
@@ -33,15 +34,29 @@ from tablepulse.operators.sampling import sample_bernoulli, sample_by_key
 from tablepulse.operators.uniqueness import duplicate_keys, pk_duplicates
 from tablepulse.plans import demo
 from tablepulse.plans.alerts import run_alerts
-from tablepulse.plans.profile import Profile, partition_info, partition_null_stats, partition_status, run_profile
+from tablepulse.plans.profile import (
+    Profile,
+    TableSpec,
+    partition_info,
+    partition_null_stats,
+    partition_status,
+    run_profile,
+    write_results,
+)
 from tablepulse.sinks import storage as K
 from tablepulse.sinks import writer as W
-from tablepulse.session import work_path
+from tablepulse.session import checkpointed, work_path
 from tablepulse.sources import readers as R
 from tablepulse.sources.cuts import latest_cuts
 from tablepulse.sources.rules import resolve_rules
 from tablepulse.sources.scan import scan_partition, scan_partitions
-from tablepulse.sources.stats import history_from_column, latest_snapshot, partition_stats
+from tablepulse.sources.stats import (
+    history_from_column,
+    history_from_files,
+    latest_snapshot,
+    partition_stats,
+    stats_from_metadata,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = demo.AS_OF
@@ -188,7 +203,17 @@ def q_load_cuts(spark, sf):
 
 # ---------------------------------------------------------------- sampling / projection
 def q_sample_bernoulli(spark, sf):
-    return sample_bernoulli(demo.read(spark, sf, "lineitem")).select("l_orderkey", "l_linenumber", "l_quantity")
+    """The sample's share of the table is near the fraction (six standard deviations), and all its rows are the table's."""
+    rows = demo.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    keys = rows.columns
+    sampled = sample_bernoulli(rows).groupBy(*keys).agg(F.count(F.lit(1)).alias("sampled"))
+    both = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).join(sampled, keys, "full")
+    n, k, p = F.sum("n"), F.coalesce(F.sum("sampled"), F.lit(0)), S.SAMPLE_FRACTION
+    return both.agg(
+        n.alias("table_rows"),
+        (F.abs(k - n * p) <= 6 * F.sqrt(n * (p * (1 - p)))).alias("share_ok"),
+        F.count_if(F.coalesce("sampled", F.lit(0)) > F.coalesce("n", F.lit(0))).alias("foreign_rows"),
+    )
 
 
 def q_sample_by_key(spark, sf):
@@ -258,12 +283,12 @@ def q_pk_duplicate_keys(spark, sf):
 
 
 def q_pk_duplicates_approx(spark, sf):
-    return flat_rules(
-        pk_duplicates(
-            demo.read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem", method="approx",
-            tolerance=0.01, ts=AS_OF,
-        )
-    )
+    """The approximate rule, and whether its rate is within three standard errors of the exact one."""
+    rows, keys, rsd = demo.read(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 0.05
+    approx = pk_duplicates(rows, keys, "lineitem", method="approx", rsd=rsd, tolerance=0.01, ts=AS_OF)
+    exact = pk_duplicates(rows, keys, "lineitem", ts=AS_OF).select("table_name", F.col("fail_rate").alias("exact_rate"))
+    close = F.abs(F.col("fail_rate") - F.col("exact_rate")) <= 3 * rsd
+    return approx.join(exact, "table_name").select("table_name", "rule_id", "passed", "sampled_rows", close.alias("close"))
 
 
 def q_null_ratio_by_partition(spark, sf):
@@ -393,7 +418,13 @@ def q_batch_text(spark, sf):
 
 
 def q_alert_payload(spark, sf):
-    return D.messages(_decisions(spark, sf), demo.CHANNEL_DETAILED).select("batch_no", "alerts", "blocks")
+    m = D.messages(_decisions(spark, sf), demo.CHANNEL_ADVANCED, cap=False)
+    blocks = F.from_json("blocks", "array<struct<type:string,text:struct<type:string,text:string>>>")
+    m = m.withColumn("_b", blocks)
+    return m.select(
+        "batch_no", "alerts", F.size("_b").alias("blocks"), F.col("_b")[0]["text"]["text"].alias("first_text"),
+        F.get("_b", F.lit(1))["text"]["text"].alias("second_text"),
+    )
 
 
 def q_audit_rows(spark, sf):
@@ -414,8 +445,12 @@ def _tables(spark: SparkSession, kinds: list[str]) -> dict[str, str]:
     return K.ensure_tables(spark, names, location=loc)
 
 
-def _drop(spark: SparkSession, fqn: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {fqn}")
+def _taken(rows: DataFrame, *tables: str) -> DataFrame:
+    """``rows`` read from tables that were made for a query only, which are dropped."""
+    out = checkpointed(rows)
+    for fqn in tables:
+        rows.sparkSession.sql(f"DROP TABLE IF EXISTS {fqn}")
+    return out
 
 
 def _profile_results(spark: SparkSession, sf: str, mode: str) -> Profile:
@@ -434,26 +469,26 @@ def q_sink_tables(spark, sf):
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
+    return _taken(out, *names.values())
 
 
 def q_sink_metrics(spark, sf):
     names = _tables(spark, ["metrics"])
     K.append_results(_profile_results(spark, sf, "availability").metrics, "metrics", names["metrics"])
-    return flat_metrics(spark.table(names["metrics"]))
+    return _taken(flat_metrics(spark.table(names["metrics"])), names["metrics"])
 
 
 def q_sink_rules(spark, sf):
     names = _tables(spark, ["rules"])
     K.append_results(_profile_results(spark, sf, "rules").rules, "rules", names["rules"])
-    return flat_rules(spark.table(names["rules"]))
+    return _taken(flat_rules(spark.table(names["rules"])), names["rules"])
 
 
 def q_sink_drift(spark, sf):
     names = _tables(spark, ["drift"])
     d = drift(demo.read(spark, sf, "events"), "events", DAY, ["value"], ts=AS_OF)
     K.append_results(d, "drift", names["drift"])
-    return flat_drift(spark.table(names["drift"]))
+    return _taken(flat_drift(spark.table(names["drift"])), names["drift"])
 
 
 def q_sink_ndjson(spark, sf):
@@ -472,7 +507,7 @@ def q_save_cuts(spark, sf):
     names = _tables(spark, ["cuts"])
     _, new = drift_with_cuts(demo.read(spark, sf, "events"), "events", DAY, ["value"], ts=AS_OF)
     K.save_cuts(new, names["cuts"])
-    return _explode_cuts(latest_cuts(spark.table(names["cuts"])))
+    return _taken(_explode_cuts(latest_cuts(spark.table(names["cuts"]))), names["cuts"])
 
 
 def _order_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -498,13 +533,13 @@ def q_add_missing_columns(spark, sf):
     st = _order_stats(spark, sf)
     W.write_table(spark, fqn, st.select("month", "o_orderstatus", "orders"), partition_by=["month"], path=path)
     W.add_missing_columns(spark, fqn, st)
-    return spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price")
+    return _taken(spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price"), fqn)
 
 
 def q_write_create(spark, sf):
     fqn, path = _new_table(spark, "create")
     W.write_table(spark, fqn, _order_stats(spark, sf), partition_by=["month"], path=path)
-    return spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price")
+    return _taken(spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price"), fqn)
 
 
 def q_write_append(spark, sf):
@@ -512,7 +547,7 @@ def q_write_append(spark, sf):
     st = _order_stats(spark, sf)
     W.write_table(spark, fqn, st.where(F.col("o_orderstatus") == "F"), partition_by=["month"], path=path)
     W.write_table(spark, fqn, st.where(F.col("o_orderstatus") != "F"), mode="append")
-    return spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price")
+    return _taken(spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price"), fqn)
 
 
 def q_write_overwrite_partitions(spark, sf):
@@ -521,7 +556,7 @@ def q_write_overwrite_partitions(spark, sf):
     W.write_table(spark, fqn, st, partition_by=["month"], path=path)
     # rewrite the 1998 months with only their F orders; other months stay
     W.write_table(spark, fqn, st.where(F.col("month").startswith("1998") & (F.col("o_orderstatus") == "F")), mode="overwrite")
-    return spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price")
+    return _taken(spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price"), fqn)
 
 
 def q_reconcile_schema(spark, sf):
@@ -529,14 +564,17 @@ def q_reconcile_schema(spark, sf):
     st = _order_stats(spark, sf)
     W.write_table(spark, fqn, st.select("month", "o_orderstatus", "orders"), partition_by=["month"], path=path)
     W.write_table(spark, fqn, st.select("month", "o_orderstatus", "max_price").where(F.col("o_orderstatus") == "O"))
-    return spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price")
+    return _taken(spark.table(fqn).select("month", "o_orderstatus", "orders", "max_price"), fqn)
 
 
 def q_write_telemetry(spark, sf):
+    """A write that works and one that fails (text into a number) both leave their row in the telemetry table."""
     fqn, path = _new_table(spark, "telemetry")
-    return W.write_with_telemetry(spark, fqn, _order_stats(spark, sf), partition_by=["month"], path=path).select(
-        "status", "rows"
-    )
+    log, _ = _new_table(spark, "log")
+    st = _order_stats(spark, sf)
+    W.write_with_telemetry(spark, fqn, st, partition_by=["month"], path=path, telemetry=log)
+    W.write_with_telemetry(spark, fqn, st.withColumn("orders", F.array("month")), telemetry=log, raise_error=False)
+    return _taken(spark.table(log).select("status", "error", "rows"), fqn, log)
 
 
 # ---------------------------------------------------------------- runs
@@ -549,6 +587,63 @@ def q_run_alerts(spark, sf):
     return run.messages.select("batch_no", "alerts", "text", "items")
 
 
+RUN_DAYS = ["2024-01-10", "2024-01-11", "2024-01-20"]
+
+
+def q_run_partitions(spark, sf):
+    """A daily run: three partitions are read (drift also reads their reference days), counts come from metadata."""
+    ev = demo.read(spark, sf, "events")
+    meta = ev.groupBy(DAY.value().alias("ts"), "event_type").agg(F.count(F.lit(1)).alias("record_count"))
+    spec = TableSpec(
+        "events", ev, DAY, expected=demo.EVENT_DAYS, key_cols=["event_id"], drift_columns=["value"], null_columns=["value"],
+        average_columns=["value"], partitions=RUN_DAYS, metadata=meta,
+    )
+    found = run_profile(spark, [spec], as_of=AS_OF).findings()
+    return found.withColumn("value", F.round("value", 6))
+
+
+def q_run_write(spark, sf):
+    """A whole run stored in the four result tables and read back."""
+    names = _tables(spark, ["metrics", "rules", "drift", "cuts"])
+    write_results(_profile(spark, sf), names)
+    stored = Profile(*(spark.table(names[k]) for k in ("metrics", "rules", "drift", "cuts")))
+    total = F.aggregate("cuts", F.lit(0.0), lambda x, y: x + y)
+    cuts = stored.new_cuts.select(F.lit("cuts").alias("kind"), "table_name", "partition_value", F.col("column_name").alias("name"), total.alias("value"))
+    found = stored.findings().select("kind", "table_name", "partition_value", "name", "value").unionByName(cuts)
+    return _taken(found.withColumn("value", F.round("value", 6)), *names.values())
+
+
+def q_partition_stats_metadata(spark, sf):
+    """Counts per partition from a metadata table that has several keys per partition, some without a count."""
+    o = demo.read(spark, sf, "orders")
+    meta = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus").agg(F.count(F.lit(1)).alias("record_count"))
+    meta = meta.withColumn("record_count", F.when(F.col("o_orderstatus") != "P", F.col("record_count")))
+    return stats_from_metadata(meta, "orders", "month")
+
+
+def q_latest_snapshot_files(spark, sf):
+    """Newest file time of each table (it differs between copies of the data, so only that it is known)."""
+    parts = [history_from_files(demo.read(spark, sf, n), n) for n in ("events", "orders", "lineitem")]
+    found = latest_snapshot(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    return found.select("table_name", F.col("made_current_at").isNotNull().alias("known"))
+
+
+def q_freshness_history(spark, sf):
+    """Freshness over many snapshots per table: the newest one decides."""
+    def snapshots(name: str, column: str) -> DataFrame:
+        rows = demo.read(spark, sf, name)
+        each = rows.groupBy(F.date_trunc("day", F.col(column))).agg(F.max(column).alias("m"))
+        return each.select(F.lit(name).alias("table_name"), as_instant(F.col("m"), each.schema["m"].dataType).alias("made_current_at"))
+
+    history = snapshots("events", "ts").unionByName(snapshots("orders", "o_orderdate")).unionByName(snapshots("lineitem", "l_shipdate"))
+    m = A.freshness_metrics(history, AS_OF)
+    r = A.freshness_rules(A.table_list(spark, ["events", "orders", "lineitem", "labels"]), history, AS_OF, S.SLA_HOURS, AS_OF, 4)
+    none = F.lit(None).cast("string")
+    return m.select("table_name", F.col("metric_name").alias("name"), F.col("metric_value").alias("value"), none.alias("observed")).unionByName(
+        r.select("table_name", F.col("rule_id").alias("name"), F.col("fail_rate").alias("value"), "observed")
+    )
+
+
 def q_store_partition_status(spark, sf):
     st = partition_status(spark, demo.tables(spark, sf), AS_OF)
     return st.withColumn("row_count_dod_delta", F.round("row_count_dod_delta", 6))
@@ -641,6 +736,11 @@ QUERIES: dict[str, Query] = {
     "run_drift": _run("drift"),
     "run_all": _run("all"),
     "run_alerts": q_run_alerts,
+    "run_partitions": q_run_partitions,
+    "run_write": q_run_write,
+    "partition_stats_metadata": q_partition_stats_metadata,
+    "latest_snapshot_files": q_latest_snapshot_files,
+    "freshness_history": q_freshness_history,
     "store_partition_status": q_store_partition_status,
     "store_partition_stats": q_store_partition_stats,
     "store_partition_info": q_store_partition_info,
@@ -650,21 +750,20 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- streaming
 def q_stream_partition_stats(spark, sf):
-    """Events land in 8 files (3 per micro-batch); a stream keeps per-day statistics, the table is read back."""
+    """A stream over the table's files keeps per-day statistics; the statistics table is read back."""
     from tablepulse.streaming.incremental import running_partition_stats, start_stats_stream, stream_files
 
     ev = demo.read(spark, sf, "events")
-    landing = work_path(spark, "landing")
-    ev.repartition(8).write.parquet(landing)  # every day spread over all files
-    stream = stream_files(spark, landing, ev.schema, max_files_per_trigger=3)
+    stream = stream_files(spark, f"{sf.rstrip('/')}/events.parquet*", ev.schema, max_files_per_trigger=3)
     stats = running_partition_stats(stream, "events", DAY, ["value"], ["value"], "ts")
     fqn, path = _new_table(spark, "streamstats")
     q = start_stats_stream(stats, fqn, path, work_path(spark, "stream-ckpt"))
     q.awaitTermination()
-    return spark.table(fqn).select(
+    stats = spark.table(fqn).select(
         "table_name", "partition_value", "record_count", F.col("null_value").alias("null_count"),
         F.round(F.col("sum_value") / F.col("count_value"), 6).alias("average"), _txt_ts("max_ts"),
     )
+    return _taken(stats, fqn)
 
 
 QUERIES["stream_partition_stats"] = q_stream_partition_stats

@@ -52,15 +52,12 @@ SEGMENT_DIMS = ["geo_value", "time_value"]
 NULL_RATE_THRESHOLD = 0.2
 DOD_DELTA_PCT = 0.10
 DRIFT_BINS, PSI_THRESHOLD = 10, 0.2
-REFERENCE_QUANTILE_ACCURACY = 1_000_000  # relative error 1e-6, as the reference computes cuts
-# default: relative error 1e-4. Sketches stay small (~1e4 entries) when one
-# day holds billions of rows; exact whenever a group has under 1e4 values.
-QUANTILE_ACCURACY = 10_000
+QUANTILE_ACCURACY = 1_000_000  # relative error 1e-6
 PSI_EPSILON = 1e-9
 ROW_COUNT_LAST_PARTITIONS = 8
 BATCH_SIZE, MAX_MESSAGES_PER_RUN = 10, 20
 BATCH_ITEM_LINES = 10
-PRODUCT, ENVIRONMENT = "spark-dq-profiler", "dev"
+PRODUCT, ENVIRONMENT = "tablepulse", "dev"
 NULL_SEGMENT = "<null>"
 # check-result severities (a separate scale from the alert severities)
 RESULT_PASS_SEVERITY, RESULT_FAIL_SEVERITY = "medium", "high"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,26 +22,17 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # quantile sketches grow with the values a task inserts, so keeping many small
-        # (day, column) groups hash-aggregated costs no more memory than the task's input
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .getOrCreate()
     )
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by the cluster (``spark.checkpoint.dir``), if any."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; create a local one only when unset (tests)."""
+    """Use the session's checkpoint folder. Where it is unset, a local session gets a temporary one; a cluster is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None) or None
     if spark.sparkContext.getCheckpointDir():
         return spark.sparkContext.getCheckpointDir()
+    if not d and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tablepulse-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
@@ -56,13 +48,6 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "tablepulse", *parts, uuid.uuid4().hex[:12]])
 
 
-def local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-__all__ = ["build_session", "checkpoint_dir", "checkpointed", "ensure_checkpoint_dir", "work_path", "local_path"]
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (in the session's checkpoint folder) that computes ``df`` once.
 

@@ -10,8 +10,9 @@
   (``partitionOverwriteMode=dynamic`` in its storage options), never a
   session setting: tables made here carry it, older tables get it set
   before their first overwrite.
-* :func:`write_with_telemetry` returns success/failure, rows and time as a
-  one-row DataFrame (rows counted by ``observe`` during the write).
+* :func:`write_with_telemetry` gives success/failure, rows and time as a
+  one-row DataFrame (rows counted by ``observe`` during the write) and appends
+  it to a telemetry table, also when the write fails.
 """
 
 from __future__ import annotations
@@ -93,22 +94,30 @@ def ensure_dynamic_overwrite(spark: SparkSession, fqn: str) -> None:
 
 def write_with_telemetry(
     spark: SparkSession, fqn: str, df: DataFrame, mode: str = "append", partition_by: Sequence[str] = (),
-    path: str | None = None,
+    path: str | None = None, telemetry: str | None = None, raise_error: bool = True,
 ) -> DataFrame:
-    """Run :func:`write_table` and return ``table, status, error, rows, millis`` as one row."""
+    """Run :func:`write_table` and return ``table, status, error, rows, millis`` as one row.
+
+    The row is appended to table ``telemetry`` when one is named. A failure is
+    recorded there first and then raised; with ``raise_error=False`` its row is
+    returned instead.
+    """
     obs = Observation(f"write_{abs(hash(fqn)) % 10**8}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     t0 = time.perf_counter()
-    status, err, rows = "success", None, None
+    status, failure, rows = "success", None, None
     try:
         write_table(spark, fqn, observed, mode, partition_by, path)
         rows = int(obs.get.get("rows", 0))
-    except Exception as e:  # reported in the telemetry row, then raised
-        status, err = "failure", type(e).__name__
-        raise
-    finally:
-        ms = int((time.perf_counter() - t0) * 1000)
-        result = spark.createDataFrame(
-            [(fqn, status, err, rows, ms)], "table string, status string, error string, rows long, millis long"
-        )
+    except Exception as e:  # recorded, then raised below
+        status, failure = "failure", e
+    ms = int((time.perf_counter() - t0) * 1000)
+    result = spark.createDataFrame(
+        [(fqn, status, type(failure).__name__ if failure else None, rows, ms)],
+        "table string, status string, error string, rows long, millis long",
+    )
+    if telemetry is not None:
+        write_table(spark, telemetry, result)
+    if failure is not None and raise_error:
+        raise failure
     return result

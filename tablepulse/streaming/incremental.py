@@ -5,8 +5,8 @@ averages as sum/count, newest time value) runs as a streaming aggregation:
 the state store holds one row per partition value, so state grows with the
 number of partitions, not with rows. Each micro-batch emits the partitions
 it changed (``update`` mode) and ``foreachBatch`` replaces exactly those
-partitions in a table partitioned by ``partition_value`` (dynamic partition
-overwrite stored on the table). The stream's checkpoint makes restarts
+partitions in a table partitioned by ``table_name, partition_value`` (dynamic
+partition overwrite stored on the table), so several tables can share it. The stream's checkpoint makes restarts
 exactly-once; the batch checks then read the table.
 """
 
@@ -59,7 +59,7 @@ def start_stats_stream(
         if spark.catalog.tableExists(target_table):
             write_table(spark, target_table, batch, mode="overwrite")
         else:
-            write_table(spark, target_table, batch, partition_by=["partition_value"], path=target_path)
+            write_table(spark, target_table, batch, partition_by=["table_name", "partition_value"], path=target_path)
 
     w = stats.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     if processing_time:

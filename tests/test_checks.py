@@ -160,3 +160,104 @@ def test_partition_stats_pushes_day_range_to_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05T00:00)" in plan
     st = partition_stats(ev, "events", p)
     assert st.count() == 30
+
+
+def test_null_partitions_are_nobody_s_yesterday(spark):
+    from tablepulse.operators.averages import average_change_metrics
+    from tablepulse.operators.rowcounts import row_count_changes
+
+    st = spark.createDataFrame([("t", None, 1000), ("t", "2025-09-01", 10), ("t", "2025-09-02", 20)], "table_name string, partition_value string, record_count long")
+    got = {(r["metric_name"], r["partition_value"]): r["metric_value"] for r in row_count_changes(st).collect()}
+    assert got == {("row_count_dod_delta", "2025-09-02"): 1.0, ("null_partition_row_count", None): 1000.0}
+    avg = spark.createDataFrame([("t", None, "c", 9.0), ("t", "2025-09-01", "c", 1.0)], "table_name string, partition_value string, column_name string, average double")
+    assert average_change_metrics(avg).count() == 0
+
+
+def test_nan_is_null_in_averages(spark):
+    from tablepulse.operators.averages import partition_averages
+    from tablepulse.operators.partition_profile import partition_profile
+
+    df = spark.createDataFrame([("p", 1.0), ("p", float("nan")), ("p", 3.0), ("p", None)], "p string, x double")
+    assert partition_averages(df, "t", "p", ["x"]).first()["average"] == 2.0
+    assert partition_profile(df, "t", "p", [], ["x"]).first()["a0"] == 2.0
+
+
+def test_freshness_takes_the_newest_snapshot(spark):
+    from tablepulse.operators import availability as A
+    from tablepulse.plans.profile import TableSpec, partition_status, run_profile
+
+    rows_ = [("t", "2024-01-22 00:00:00"), ("t", "2024-01-31 11:00:00"), ("t", "2024-01-26 00:00:00"), ("u", "2024-01-01 00:00:00")]
+    h = spark.createDataFrame(rows_, "table_name string, made_current_at string").withColumn("made_current_at", F.col("made_current_at").cast("timestamp"))
+    as_of = "2024-01-31T12:00:00Z"
+    assert rows(A.freshness_metrics(h, as_of), "table_name", "metric_value") == [("t", 1.0), ("u", 732.0)]
+    assert rows(A.freshness_rules(A.table_list(spark, ["t", "u", "v"]), h, as_of), "table_name", "observed") == [("u", "ageHours=732"), ("v", "no_history")]
+    df = spark.createDataFrame([("2024-01-30", 1), ("2024-01-31", 2)], "p string, x int")
+    spec = TableSpec("t", df, Partitioning("p"), history=h.where("table_name = 't'"))
+    run = run_profile(spark, [spec], mode="availability", as_of=as_of)
+    assert run.rules.where("rule_id = 'freshness'").count() == 0
+    assert run.metrics.where("metric_name = 'snapshot_age_hours'").count() == 1
+    assert partition_status(spark, [spec], as_of).count() == 2
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_plans_do_not_grow_with_the_tables(spark):
+    from tablepulse.plans.profile import TableSpec, run_profile
+
+    df = spark.createDataFrame([("2024-01-30", 1.0), ("2024-01-31", 2.0)], "p string, x double")
+
+    def sizes(n):
+        specs = [TableSpec(f"t{i}", df, Partitioning("p"), expected=["2024-01-31"], null_columns=["x"], average_columns=["x"]) for i in range(n)]
+        run = run_profile(spark, specs, mode="all", as_of="2024-01-31T12:00:00Z")
+        text = _plan(run.metrics) + _plan(run.rules)
+        return [text.count(w) for w in ("Window", "Join", "Aggregate")]
+
+    assert sizes(2) == sizes(9)
+
+
+def test_expected_partitions_are_the_broadcast_side(spark):
+    from tablepulse.operators import availability as A
+
+    st = spark.createDataFrame([("t", "a", 5)], "table_name string, partition_value string, record_count long")
+    counts = A.partition_counts(st, A.expected_partitions(spark, {"t": ["a", "b"]}), 2)
+    assert rows(counts, "partition_value", "record_count") == [("a", 5), ("b", 0)]
+    assert "LeftSemi" in counts._jdf.queryExecution().executedPlan().toString() or "LeftSemi" in _plan(counts)
+
+
+def test_no_nested_loop_join_in_duplicates(spark):
+    from tablepulse.operators.uniqueness import pk_duplicates
+
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (2, 3), (2, 4)], "k int, v int")
+    r = pk_duplicates(df, ["k"], "t")
+    assert "NestedLoop" not in r._jdf.queryExecution().executedPlan().toString()
+    got = r.first()
+    assert got["examples"] == ["2", "1"] and not got["passed"]
+    none = pk_duplicates(df.where("k > 5"), ["k"], "t").first()
+    assert none["passed"] and none["sampled_rows"] == 0
+
+
+def test_thousands_of_partitions_plan_as_few_ranges(spark):
+    from datetime import date, timedelta
+
+    df = spark.createDataFrame([("2024-01-03 10:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    p = Partitioning("t", "day")
+    days = [(date(2015, 1, 1) + timedelta(days=i)).isoformat() for i in range(3650)]
+    assert df.where(p.where_in(df, days)).count() == 1
+    assert df.where(p.where_in(df, days[::2])).count() in (0, 1)
+    week = df.where(p.where_in(df, ["2024-01-03", "2024-01-01", "2024-01-02"]))
+    assert _plan(week).count(">=") == 1
+
+
+def test_partitions_limit_what_a_run_reports(spark):
+    from tablepulse.plans.profile import TableSpec, run_profile
+
+    df = spark.createDataFrame([(f"2024-01-{d:02d}", d, float(d)) for d in range(1, 11) for _ in range(d)], "p string, k int, x double")
+    meta = df.groupBy("p").count().withColumnRenamed("count", "record_count")
+    spec = TableSpec("t", df, Partitioning("p"), expected=[f"2024-01-{d:02d}" for d in range(1, 11)], key_cols=["k"], null_columns=["x"], partitions=["2024-01-05"], metadata=meta)
+    run = run_profile(spark, [spec], as_of="2024-01-31T12:00:00Z")
+    m = {(r["metric_name"], r["partition_value"]): r["metric_value"] for r in run.metrics.collect()}
+    assert {p for _, p in m} == {"2024-01-05"}
+    assert m["row_count_dod_delta", "2024-01-05"] == 0.25 and m["partition_row_count", "2024-01-05"] == 5.0
+    assert run.rules.where("rule_id = 'pk_duplicates'").first()["sampled_rows"] == 5

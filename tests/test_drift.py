@@ -12,6 +12,7 @@ from tablepulse.operators.drift import (
     compute_cuts,
     day_values,
     drift,
+    drift_parts,
     drift_with_cuts,
     long_values,
     psi,
@@ -77,7 +78,8 @@ def test_shifted_day_scores_high_and_names(spark):
 def test_empty_reference_gives_no_row_and_missing_metric(spark):
     df = _days(spark, {"2025-09-08": range(10)})
     assert drift(df, "t", P, ["v"], today="2025-09-08").count() == 0
-    m = reference_missing(df, "t", P, ["v"], "2025-09-08", as_of="2025-09-10T00:00:00Z")
+    used = drift_parts(df, "t", P, ["v"], today="2025-09-08")[2]
+    m = reference_missing(used, "t", ["v"], "2025-09-08", as_of="2025-09-10T00:00:00Z")
     assert rows(m, "metric_name", "metric_value") == [("reference_missing", 1.0), ("reference_missing", 1.0)]
 
 
@@ -162,3 +164,42 @@ def test_unrolled_and_lambda_buckets_agree_with_python(spark):
     for r in got:
         want = len(r["cuts"]) + 1 if r["v"] is None else sum(1 for c in r["cuts"] if r["v"] > c)
         assert r["lam"] == r["unrolled"] == want
+
+
+def test_cuts_of_a_large_day_are_exact(spark):
+    df = spark.range(60_000).select(F.lit("2025-09-07").alias("p"), (F.col("id") * 7919 % 60_000).cast("double").alias("v"))
+    cuts = compute_cuts(long_values(df, "t", P, ["v"])).first()["cuts"]
+    assert cuts == [6000.0 * i - 1 for i in range(1, 10)]
+
+
+def test_malformed_partitions_are_left_out(spark):
+    good = _days(spark, {"2025-09-07": range(100), "2025-09-08": range(50, 150)})
+    bad = good.unionByName(_days(spark, {"__HIVE_DEFAULT_PARTITION__": range(10), "2025-13-45": range(10)}))
+    want = rows(drift(good, "t", P, ["v"]), "metric_name", "score")
+    assert rows(drift(bad, "t", P, ["v"]), "metric_name", "score") == want
+    saved = spark.createDataFrame([("t", "v", "not a day", [1.0])], "table_name string, column_name string, partition_value string, cuts array<double>").withColumn("created_at", F.current_timestamp())
+    assert rows(drift(bad, "t", P, ["v"], saved_cuts=saved), "metric_name", "score") == want
+
+
+def test_month_grain_is_refused(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    with pytest.raises(ValueError, match="month"):
+        drift(ev, "e", Partitioning("ts", "month"), ["value"])
+
+
+def test_large_cut_tables_take_the_shuffle_join(spark, monkeypatch):
+    from tablepulse.functions import joins
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    p = Partitioning("ts", "day")
+    want = rows(drift(ev, "e", p, ["value"]), "partition_value", "metric_name", "score")
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+    assert rows(drift(ev, "e", p, ["value"]), "partition_value", "metric_name", "score") == want
+
+
+def test_all_days_runs_name_missing_references(spark):
+    df = _days(spark, {"2025-09-01": range(10), "2025-09-02": [float("nan")], "2025-09-03": range(10), "2025-09-09": range(10)})
+    spec = TableSpec("t", df, P, drift_columns=["v"])
+    got = run_profile(spark, [spec], mode="drift", as_of="2025-09-10T00:00:00Z").metrics
+    pairs = sorted((r["partition_value"], r["details"]["reference_partition"]) for r in got.collect())
+    assert pairs == [("2025-09-03", "2025-09-02"), ("2025-09-09", "2025-09-02"), ("2025-09-09", "2025-09-08")]

@@ -1,4 +1,4 @@
-"""Events to decisions (the reference's policy cases plus every branch), and the dispatch path."""
+"""Events to decisions (a case for every branch), and the dispatch path."""
 
 import json
 
@@ -11,11 +11,11 @@ from tablepulse.operators import dispatch as D
 from tablepulse.operators.policy import evaluate, events_from_results
 from tablepulse.sources.rules import resolve_rules, rules_from_config
 
-TS = "2025-09-08T12:00:00Z"
-T = "db.sales.orders"
-P = "ds=2025-09-08"
+TS = "2031-03-04T09:30:00Z"
+T = "shop.carts"
+P = "day=2031-03-04"
 
-# rule settings of the reference's example: drift overridden, null ratio muted for one table
+# drift overridden, null ratio muted for one table
 CONFIG = {
     "default": {"drift": {"threshold": 0.30}},
     "overrides": {T: {"drift": {"threshold": 0.10, "severity": "critical"}, "null_ratio": {"enabled": False}}},
@@ -37,7 +37,7 @@ def decide(spark, items, config=CONFIG):
     }
 
 
-def test_reference_policy_cases(spark):
+def test_policy_cases(spark):
     d = decide(
         spark,
         [
@@ -96,7 +96,7 @@ def test_every_branch_missing_and_nan_metrics(spark):
     }
     assert {k: (v["status"], v["reason"], v["severity"]) for k, v in d.items()} == want
     assert d[("row_count_dod", "big")]["actual"] == 0.5  # absolute change
-    assert d[("availability", "ok")]["alert_key"] == "availability|ok|-|2025-09-08"
+    assert d[("availability", "ok")]["alert_key"] == "availability|ok|-|2031-03-04"
 
 
 def test_rules_merge_field_by_field(spark):
@@ -156,8 +156,8 @@ def test_twenty_five_failures_batch_10_10_5(spark):
     many = [("availability", f"db.t{i:02d}", P, {"available": 0.0}) for i in range(25)]
     msgs = D.messages(level_decisions(spark, many), D.Channel(level="basic")).orderBy("batch_no").collect()
     assert [m["alerts"] for m in msgs] == [10, 10, 5]
-    assert msgs[0]["text"] == msgs[1]["text"] == "[spark-dq-profiler|dev] 10 alerts (CRITICAL=10)"
-    assert msgs[0]["items"].split("\n")[0] == "• db.t00/ds=2025-09-08:availability CRITICAL Availability failure"
+    assert msgs[0]["text"] == msgs[1]["text"] == "[tablepulse|dev] 10 alerts (CRITICAL=10)"
+    assert msgs[0]["items"].split("\n")[0] == "• db.t00/day=2031-03-04:availability CRITICAL Availability failure"
     assert len(msgs[2]["items"].split("\n")) == 5
 
 
@@ -165,7 +165,7 @@ def test_dedup_by_key(spark):
     dup = [("drift", "db.t", P, {"drift_score": 0.5}), ("drift", "db.t", P, {"drift_score": 0.35})]
     dec = level_decisions(spark, dup)
     a = D.dedup_alerts(D.sendable(dec, "advanced")).collect()
-    assert len(a) == 1 and a[0]["actual"] == 0.35
+    assert len(a) == 1 and a[0]["actual"] == 0.5
     assert D.messages(dec, D.Channel(level="advanced")).first()["alerts"] == 1
 
 
@@ -173,10 +173,10 @@ def test_rendered_single_alert_text_and_blocks(spark):
     dec = level_decisions(spark, [("drift", "db.t", "p", {"drift_score": 0.42})])
     ch = D.Channel(level="advanced", mentions={"WARN": "@team"})
     m = D.messages(dec, ch).first()
-    assert m["text"] == "[spark-dq-profiler|dev] db.t/p drift WARN: Drift above threshold actual=0.4200 (thr=0.300). @team"
+    assert m["text"] == "[tablepulse|dev] db.t/p drift WARN: Drift above threshold actual=0.4200 (thr=0.300). @team"
     blocks = json.loads(m["blocks"])
     assert blocks[1]["fields"][1]["text"] == "*Behavior*: drift"
-    assert blocks[1]["fields"][5]["text"] == "*Run At*: 2025-09-08T12:00:00Z"
+    assert blocks[1]["fields"][5]["text"] == "*Run At*: 2031-03-04T09:30:00Z"
     basic = json.loads(D.messages(dec, D.Channel(level="detailed")).first()["blocks"])
     assert len(basic) == 2  # no extra fields: no third section
 
@@ -185,5 +185,44 @@ def test_audit_rows_before_filtering(spark):
     dec = level_decisions(spark, THREE)
     a = D.audit_rows(dec, "basic").collect()
     assert len(a) == 3
-    assert {r["timestamp"] for r in a} == {"2025-09-08T12:00:00Z"}
+    assert {r["timestamp"] for r in a} == {"2031-03-04T09:30:00Z"}
     assert {r["level"] for r in a} == {"basic"}
+
+
+def results(spark, metrics=(), drifts=()):
+    m = spark.createDataFrame([(t, p, n, v, d) for t, p, n, v, d in metrics], "table_name string, partition_value string, metric_name string, metric_value double, details map<string,string>").withColumn("metric_date", F.current_date())
+    d = spark.createDataFrame(list(drifts), "table_name string, partition_value string, metric_name string, score double, reference string, details map<string,string>")
+    return events_from_results(m, d, TS)
+
+
+def test_dedup_keeps_the_worst_column_and_names_all(spark):
+    ev = results(spark, [("t", "p", "null_ratio", 0.25, {"column": "b"}), ("t", "p", "null_ratio", 0.95, {"column": "a"}), ("t", "q", "null_ratio", 0.5, {"column": "a"})])
+    got = {r["partition_value"]: r for r in D.dedup_alerts(D.sendable(evaluate(ev, None), "advanced")).collect()}
+    assert got["p"]["actual"] == 0.95 and got["p"]["extra"]["column"] == "a" and got["p"]["extra"]["merged"] == "a, b"
+    assert "merged" not in got["q"]["extra"]
+
+
+def test_dedup_keeps_the_worst_reference(spark):
+    ev = results(spark, drifts=[("t", "p", "v_psi_dod", 0.4, "yesterday", {"column": "v"}), ("t", "p", "v_psi_wow", 0.9, "week", {"column": "v"})])
+    a = D.dedup_alerts(D.sendable(evaluate(ev, None), "advanced")).collect()
+    assert [(x["actual"], x["extra"]["merged"]) for x in a] == [(0.9, "v/week, v/yesterday")]
+
+
+def test_large_batches_count_what_they_do_not_list(spark):
+    many = [("availability", f"db.t{i:02d}", P, {"available": 0.0}) for i in range(25)]
+    m = D.messages(level_decisions(spark, many), D.Channel(level="basic", batch_size=25)).collect()
+    lines = m[0]["items"].split("\n")
+    assert len(m) == 1 and len(lines) == 11 and lines[-1] == "… and 15 more"
+
+
+def test_cap_says_what_it_holds_back(spark):
+    from tablepulse.plans.alerts import run_alerts
+    from tablepulse.plans.profile import Profile
+
+    rows_ = [("t", f"p{i}", "partition_exists", 0.0, {}) for i in range(7)]
+    m = spark.createDataFrame(rows_, "table_name string, partition_value string, metric_name string, metric_value double, details map<string,string>").withColumn("metric_date", F.current_date())
+    none = spark.createDataFrame([], S.DRIFT)
+    run = run_alerts(Profile(m, spark.createDataFrame([], S.RULE), none, spark.createDataFrame([], S.CUTS)), D.Channel(level="basic", batch_size=2, max_messages=2), run_ts=TS)
+    got = run.messages.orderBy("batch_no").collect()
+    assert (run.suppressed_messages, run.suppressed_alerts, len(got)) == (2, 3, 2)
+    assert "not sent" not in got[0]["text"] and got[1]["text"].endswith("(+3 alerts in 2 more messages not sent)")

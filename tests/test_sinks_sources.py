@@ -88,3 +88,27 @@ def test_global_sequence_is_consecutive_across_partitions(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(7)
     out = with_sequence(df, [F.col("k")], "seq").collect()
     assert sorted((r["seq"], r["k"]) for r in out) == [(i, i) for i in range(1000)]
+
+
+def test_sample_by_key_keeps_null_keys_and_small_fractions(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,)], "k int")
+    assert sample_by_key(df, ["k"], 1.0).count() == 3
+    many = spark.range(1_000_000).withColumnRenamed("id", "k")
+    assert 15 <= sample_by_key(many, ["k"], 0.00004).count() <= 75
+
+
+def test_failed_writes_leave_their_telemetry(spark):
+    import uuid
+
+    import pytest
+    from tablepulse.sinks.writer import write_table, write_with_telemetry
+
+    fqn, log = (f"tp_test_{uuid.uuid4().hex[:8]}" for _ in range(2))
+    write_table(spark, fqn, spark.createDataFrame([(1,)], "a int"))
+    with pytest.raises(Exception, match="a"):
+        write_with_telemetry(spark, fqn, spark.createDataFrame([([1],)], "a array<int>"), telemetry=log)
+    assert rows(spark.table(log), "status", "rows") == [("failure", None)]
+    kept = write_with_telemetry(spark, fqn, spark.createDataFrame([([1],)], "a array<int>"), raise_error=False).first()
+    assert kept["status"] == "failure" and kept["error"]
+    for t in (fqn, log):
+        spark.sql(f"DROP TABLE {t}")

@@ -23,3 +23,20 @@ def test_stream_upserts_match_batch(spark):
     batch = partition_profile(ev, "events", p, ["value"])
     want = rows(batch.select("partition_value", "record_count", F.col("n0").alias("null_value")))
     assert got == want and len(got) == 30
+
+
+def test_tables_share_a_statistics_table(spark):
+    import uuid
+
+    from tablepulse.sinks.writer import write_table
+
+    fqn = f"stream_shared_{uuid.uuid4().hex[:8]}"
+    keys = ["table_name", "partition_value"]
+    for name, n in (("a", 1), ("b", 2), ("a", 3)):
+        batch = spark.createDataFrame([(n, name, "2024-01-01")], "record_count int, table_name string, partition_value string")
+        if spark.catalog.tableExists(fqn):
+            write_table(spark, fqn, batch, mode="overwrite")
+        else:
+            write_table(spark, fqn, batch, partition_by=keys)
+    assert rows(spark.table(fqn), "table_name", "record_count") == [("a", 3), ("b", 2)]
+    spark.sql(f"DROP TABLE {fqn}")
