@@ -48,6 +48,8 @@ from tablepulse.session import checkpointed, work_path
 
 PACKAGE_BYTES = 256 << 20
 PACKAGE_RECORDS = 50_000
+#: packed bytes of records that one reading task takes
+READ_BYTES = 16 << 20
 LEAST_REVISIT_BYTES = 0
 RECORD_DATE = "2024-01-01T00:00:00Z"
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -232,18 +234,18 @@ class _Package:
         self.index.append(json.dumps({"page": page_id, "offset": self.size, "length": len(record)}))
         self.size += len(record)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.data.close()
         with self.zip.open(zipfile.ZipInfo(INDEX_MEMBER), "w") as f:
             f.write("".join(line + "\n" for line in self.index).encode())
         self.zip.close()
         self.out.close()
         self.files.move(self.draft, self.path)
-        return self.uri, len(self.index)
+        return self.uri, len(self.index), self.size
 
 
 def write_packages(pages: DataFrame, folder: str, least_revisit_bytes: int = LEAST_REVISIT_BYTES, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """Write a record for each page below ``folder`` (seen by all executors); gives uri, records of each package."""
+    """Write a record for each page below ``folder`` (seen by all executors); gives uri, records, bytes of each package."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, package, k, done = TaskContext.get().partitionId(), None, 0, []
@@ -258,10 +260,11 @@ def write_packages(pages: DataFrame, folder: str, least_revisit_bytes: int = LEA
         if package is not None:
             done.append(package.close())
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done]), pa.array([d[1] for d in done], pa.int64())], ["uri", "records"])
+            columns = [pa.array([d[i] for d in done], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["uri", "records", "bytes"])
 
     # written once: later reads don't write the packages again
-    return checkpointed(with_references(pages, least_revisit_bytes).mapInArrow(run, "uri string, records long"))
+    return checkpointed(with_references(pages, least_revisit_bytes).mapInArrow(run, "uri string, records long, bytes long"))
 
 
 def index_rows(packages: DataFrame) -> DataFrame:
@@ -289,9 +292,10 @@ def index_rows(packages: DataFrame) -> DataFrame:
 
 def read_records(packages: DataFrame) -> DataFrame:
     """Every record of the packages, read by range: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
-    rows = index_rows(packages)
-    # neighbouring records stay together; a large package is read by several tasks
-    rows = rows.repartition("uri", F.floor(F.col("start") / (8 << 20))).sortWithinPartitions("uri", "start")
+    # neighbouring records stay together; the number of tasks follows the records' bytes, not the index's
+    tasks = max(1, -(-(packages.agg(F.sum("bytes")).first()[0] or 0) // READ_BYTES))
+    block = F.floor(F.col("start") / (READ_BYTES // 8))
+    rows = index_rows(packages).repartition(tasks, "uri", block).sortWithinPartitions("uri", "start")
     schema = pa.schema(
         [
             ("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
