@@ -108,4 +108,42 @@ SQL: dict[str, str] = {
         LEFT JOIN n ON n.doc_id = d.doc_id
         LEFT JOIN (SELECT x, count(*) AS n_links FROM e GROUP BY x) l ON l.x = d.doc_id
     """,
+    # each base-32 digit is five bits of the digest
+    "op9_warc_zip": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS h FROM pages
+        ), d AS (
+            SELECT page_id, h, max(page_id) OVER (PARTITION BY h) AS first_id, unhex(sha1(h))::BIT::VARCHAR AS bits FROM p
+        )
+        SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+                   16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT +
+                   2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT, 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM d
+    """,
+    "op2_suffix_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents
+        ), w AS (
+            SELECT doc_id, p, substr(h, (2 * p + 1)::BIGINT, 100) AS s FROM (SELECT doc_id, h, unnest(range(n - 49)) AS p FROM t WHERE n >= 50)
+        ), f AS (
+            SELECT s, min(doc_id) AS first_id FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)
+        ), r AS (
+            SELECT w.doc_id, w.p, lag(w.p) OVER (PARTITION BY w.doc_id ORDER BY w.p) AS before FROM w JOIN f USING (s) WHERE f.first_id < w.doc_id
+        ), g AS (
+            SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r
+        ), runs AS (
+            SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY doc_id, run
+        ), k AS (
+            SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+            FROM runs GROUP BY doc_id
+        )
+        SELECT t.doc_id, t.n AS n_bytes, coalesce(k.n_removed, 0) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
+               sha256(unhex(CASE WHEN k.doc_id IS NULL THEN t.h ELSE array_to_string(list_transform(range(len(starts) + 1), lambda i: substr(t.h,
+                   CASE WHEN i = 0 THEN 1 ELSE 2 * ends[i] + 1 END, CASE WHEN i = len(starts) THEN length(t.h) ELSE 2 * starts[i + 1] END -
+                   CASE WHEN i = 0 THEN 0 ELSE 2 * ends[i] END)), '') END)) AS kept_sha256
+        FROM t LEFT JOIN k ON k.doc_id = t.doc_id
+    """,
 }
