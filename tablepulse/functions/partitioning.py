@@ -36,6 +36,18 @@ class Partitioning:
         fmt = _GRAINS[self.grain]
         return c.cast("string") if fmt is None else F.date_format(c, fmt)
 
+    def key(self) -> Column:
+        """What to group rows by: the partition as a date, or the value as it is. Cheaper for each row than its text."""
+        c = F.col(self.column)
+        if self.grain == "value":
+            return c
+        return F.to_date(c) if self.grain == "day" else F.trunc(F.to_date(c), "month")
+
+    def text_of(self, key: Column) -> Column:
+        """The partition value of a grouping key."""
+        fmt = _GRAINS[self.grain]
+        return key.cast("string") if fmt is None else F.date_format(key, fmt)
+
     def where_in(self, df: DataFrame, values: Sequence[str]) -> Column:
         """Predicate selecting rows whose partition value is in ``values``.
 

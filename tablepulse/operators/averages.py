@@ -19,7 +19,7 @@ def partition_averages(
     """Long form ``table_name, partition_value, column_name, average, rows`` (one aggregation pass; NaN counts as null)."""
     p = as_partitioning(partitioning)
     aggs = [F.count(F.lit(1)).alias("rows")] + [F.avg(nan_to_null(F.col(c))).alias(f"a{i}") for i, c in enumerate(columns)]
-    per = df.groupBy(p.value().alias("partition_value")).agg(*aggs)
+    per = df.groupBy(p.key().alias("_key")).agg(*aggs).withColumn("partition_value", p.text_of(F.col("_key")))
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("average")) for i, c in enumerate(columns)])
     return per.select(F.lit(table_name).alias("table_name"), "partition_value", "rows", F.inline(pairs))
 

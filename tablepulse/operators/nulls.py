@@ -23,11 +23,12 @@ def null_counts_by_partition(
     an unpivot of the per-partition result.
     """
     p = as_partitioning(partitioning)
-    pv = p.value() if p is not None else F.lit(None).cast("string")
+    key = p.key() if p is not None else F.lit(None).cast("string")
     aggs = [F.count(F.lit(1)).alias("record_count")] + [
         F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)
     ]
-    per = df.groupBy(pv.alias("partition_value")).agg(*aggs)
+    per = df.groupBy(key.alias("_key")).agg(*aggs)
+    per = per.withColumn("partition_value", p.text_of(F.col("_key")) if p is not None else F.col("_key"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count")) for i, c in enumerate(columns)])
     return per.select(F.lit(table_name).alias("table_name"), "partition_value", "record_count", F.inline(pairs))
 

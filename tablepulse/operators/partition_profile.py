@@ -34,7 +34,8 @@ def partition_profile(
     aggs += [F.avg(nan_to_null(F.col(c))).alias(f"a{i}") for i, c in enumerate(average_columns)]
     if time_column:
         aggs.append(F.max(F.col(time_column)).alias("max_ts"))
-    return df.groupBy(p.value().alias("partition_value")).agg(*aggs).withColumn("table_name", F.lit(table_name))
+    per = df.groupBy(p.key().alias("_key")).agg(*aggs)
+    return per.select(p.text_of(F.col("_key")).alias("partition_value"), *per.columns[1:], F.lit(table_name).alias("table_name"))
 
 
 def stats_of(pp: DataFrame) -> DataFrame:

@@ -31,11 +31,6 @@ def to_storage(df: DataFrame, kind: str) -> DataFrame:
     raise ValueError(f"unknown result kind {kind!r}")
 
 
-def drift_storage(df: DataFrame, ts: datetime | str | None = None) -> DataFrame:
-    """DRIFT rows with ``ts`` set to the run time and ``details`` defaulted to an empty map."""
-    return df.withColumn("ts", lit_ts(ts)).withColumn("details", F.coalesce(F.col("details"), empty_str_map()))
-
-
 def json_struct(kind: str) -> Column:
     """The JSON field layout of each result kind."""
     if kind == "metrics":

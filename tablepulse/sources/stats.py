@@ -19,9 +19,8 @@ from tablepulse.functions.partitioning import Partitioning, as_partitioning
 def partition_stats(df: DataFrame, table_name: str, partitioning: Partitioning | str) -> DataFrame:
     """``table_name, partition_value, record_count`` counted from the rows."""
     p = as_partitioning(partitioning)
-    return df.groupBy(p.value().alias("partition_value")).agg(F.count(F.lit(1)).alias("record_count")).select(
-        F.lit(table_name).alias("table_name"), "partition_value", "record_count"
-    )
+    counted = df.groupBy(p.key().alias("_key")).agg(F.count(F.lit(1)).alias("record_count"))
+    return counted.select(F.lit(table_name).alias("table_name"), p.text_of(F.col("_key")).alias("partition_value"), "record_count")
 
 
 def stats_from_metadata(meta: DataFrame, table_name: str, key: str, count_col: str = "record_count") -> DataFrame:

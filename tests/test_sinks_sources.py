@@ -112,3 +112,12 @@ def test_failed_writes_leave_their_telemetry(spark):
     assert kept["status"] == "failure" and kept["error"]
     for t in (fqn, log):
         spark.sql(f"DROP TABLE {t}")
+
+
+def test_rules_are_read_from_json_lines(spark):
+    from tablepulse.session import work_path
+    from tablepulse.sources.rules import read_rules
+
+    path = work_path(spark, "rules")
+    spark.createDataFrame([('{"behavior": "drift", "threshold": 0.4, "severity": "warn"}',)], "value string").write.text(path)
+    assert rows(read_rules(spark, path), "behavior", "threshold", "severity", "table_name") == [("drift", 0.4, "WARN", None)]
