@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -17,10 +19,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOLD_OUT_FOLDS = 5
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's folder, where they see it. On a cluster where
+    they don't, the package has to be installed or passed with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 

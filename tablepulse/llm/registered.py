@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from tablepulse.llm import bpe, fingerprint, language, mixing, ngram_join, secrets, suffix_dedup, toxicity, warc_zip
-from tablepulse.llm.common import documents, labels
+from tablepulse.llm.common import documents, labels, pages
 from tablepulse.llm.exact_dedup import exact_duplicates
 
 
@@ -51,8 +50,7 @@ def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return warc_zip.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc_zip.round_trip(pages(spark, sf_dir)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
