@@ -60,7 +60,7 @@ RULES_CONFIG = {
         "events": {"drift": {"threshold": 0.08, "severity": "Warn"}},
     },
 }
-RULES_ROWS = 10
+RULES_ROWS = sum(len(blocks) for blocks in [RULES_CONFIG["default"], *RULES_CONFIG["overrides"].values()])
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
