@@ -33,6 +33,7 @@ Sets are compared by 64-bit hashes of their shingles.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -50,6 +51,8 @@ THRESHOLD = Fraction(9, 10)
 BLOCK_SETS = 256
 #: shingles of small clusters that one verifying task takes
 BIN_SHINGLES = 1 << 20
+#: bytes whose words are hashed at once
+SLICE = 4 << 20
 #: columns of a verifying matrix at once
 COLUMNS = 4096
 
@@ -59,25 +62,39 @@ _BYTE = mixed_bits(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A
 _STEP = 0x5851F42D4C957F2D
 
 
+def _slices(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Parts of about ``SLICE`` bytes that begin after white space, which bounds the memory that a very long text takes."""
+    begin = 0
+    while begin < len(data):
+        end = begin + SLICE
+        while end < len(data) and not _SPACE[data[end - 1]]:
+            end += 1
+        yield begin, min(end, len(data))
+        begin = end
+
+
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word (A-Z in lower case), and where each document's words begin."""
-    low = _LOWER[data]
-    inside = ~_SPACE[low]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    begins = at[:-1][at[:-1] < at[1:]]
-    first[begins] = inside[begins]
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    lengths = np.diff(np.append(starts, len(data)))
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
-    inside = inside[starts[0] :]
-    place[~inside] = 0
-    powers = np.cumprod(np.full(int(place.max()) + 1, _STEP, np.uint64))
-    terms = _BYTE[low[starts[0] :]] * powers[place]
-    terms[~inside] = 0
-    return mixed_bits(np.add.reduceat(terms, starts - starts[0])), np.searchsorted(starts, at)
+    hashes, heads = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for begin, end in _slices(data):
+        low = _LOWER[data[begin:end]]
+        inside = ~_SPACE[low]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        begins = at[:-1][(at[:-1] < at[1:]) & (at[:-1] >= begin) & (at[:-1] < end)] - begin
+        first[begins] = inside[begins]
+        starts = np.flatnonzero(first)
+        if not len(starts):
+            continue
+        place = np.arange(starts[0], len(low)) - np.repeat(starts, np.diff(np.append(starts, len(low))))
+        inside = inside[starts[0] :]
+        place[~inside] = 0
+        powers = np.cumprod(np.full(int(place.max()) + 1, _STEP, np.uint64))
+        terms = _BYTE[low[starts[0] :]] * powers[place]
+        terms[~inside] = 0
+        hashes.append(mixed_bits(np.add.reduceat(terms, starts - starts[0])))
+        heads.append(starts + begin)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(heads), at)
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +104,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     own = np.maximum(counts - width + 1, 0)
     # positions whose shingle lies in one document
     heads = np.repeat(begin[:-1] - np.concatenate([[0], np.cumsum(own)[:-1]]), own) + np.arange(own.sum()) if len(own) else np.zeros(0, np.int64)
-    factors = mixed_bits(np.arange(1, width + 1, dtype=np.uint64))| np.uint64(1)
+    factors = mixed_bits(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
     full = np.zeros(len(heads), np.uint64)
     for k in range(width):
         full += words[heads + k] * factors[k]

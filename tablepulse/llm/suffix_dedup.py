@@ -52,6 +52,8 @@ GRAM = 24
 STARTS = LENGTH - GRAM + 1
 #: bytes before and after the start of a sampled suffix that its strings can reach
 BEFORE, AFTER = STARTS - 1, LENGTH
+#: strings whose samples are chosen at once, which bounds the memory that a very long text takes
+SLICE = 4 << 20
 LAST_ID = np.iinfo(np.int64).max
 
 _BYTE = mixed_bits(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -77,19 +79,25 @@ def samples(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
             whole[a : b - LENGTH + 1] = True
     if not whole.any():
         return none, none, none, np.zeros(0, np.uint64)
-    grams = gram_hashes(data)
-    # the leftmost of the least hashes: position in the low half
-    x = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
-    for step in (1, 2, 4, 8):
-        x = np.minimum(x[:-step], x[step:])
-    x = np.minimum(x[: -(STARTS - 16)], x[STARTS - 16 :])
-    starts = np.flatnonzero(whole)
-    chosen = (x[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for begin in range(0, len(whole), SLICE):
+        on = np.flatnonzero(whole[begin : begin + SLICE])
+        if not len(on):
+            continue
+        grams = gram_hashes(data[begin : begin + SLICE + LENGTH - 1])
+        # the leftmost of the least hashes: position in the low half
+        x = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+        for step in (1, 2, 4, 8):
+            x = np.minimum(x[:-step], x[step:])
+        x = np.minimum(x[: -(STARTS - 16)], x[STARTS - 16 :])
+        least = (x[on] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        found.append((on + begin, least + begin, grams[least]))
+    starts, chosen, gram = (np.concatenate([f[i] for f in found]) for i in range(3))
     new = np.ones(len(starts), bool)
     new[1:] = (chosen[1:] != chosen[:-1]) | (starts[1:] != starts[:-1] + 1)
     head = np.flatnonzero(new)
     last = np.append(head[1:], len(starts)) - 1
-    return chosen[head], starts[head], starts[last], grams[chosen[head]]
+    return chosen[head], starts[head], starts[last], gram[head]
 
 
 def _sample_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

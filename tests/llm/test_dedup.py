@@ -4,6 +4,7 @@ import random
 from fractions import Fraction
 
 import fixtures as X
+import numpy as np
 import pytest
 
 from tablepulse.llm import exact_dedup, graph, ngram_join, shards, suffix_dedup
@@ -150,3 +151,14 @@ def test_chains_and_stars_are_one_component(spark, n):
     got = dict(graph.components(spark.createDataFrame(chain, "a long, b long")).collect())
     want = {i: 0 for i in range(n + 1)} | ({1000 + i: 1000 for i in range(n)} if n > 1 else {})
     assert got == want
+
+
+def test_slices_change_nothing(monkeypatch):
+    r = random.Random(6)
+    texts = ["".join(r.choice("abc \t\n") for _ in range(n)).encode() for n in (0, 3, 49, 50, 700, 120, 2000)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    at = np.cumsum([0, *(len(t) for t in texts)])
+    whole = [x.tolist() for x in (*suffix_dedup.samples(data, at), *ngram_join.shingle_sets(data, at, 3))]
+    monkeypatch.setattr(suffix_dedup, "SLICE", 64)
+    monkeypatch.setattr(ngram_join, "SLICE", 64)
+    assert [x.tolist() for x in (*suffix_dedup.samples(data, at), *ngram_join.shingle_sets(data, at, 3))] == whole
