@@ -101,7 +101,8 @@ def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     names = checkpointed(document_names(docs, block_bytes))
-    groups = names.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # written out, so that both sides of the join are plain exchanges and a hot group's rows can be split
+    groups = checkpointed(names.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")))
     rows = names.join(groups, ["level", "name"]).select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
     return rows.select(
         "doc_id",
