@@ -44,7 +44,7 @@ from tablepulse.session import checkpointed
 #: weights of the sources in their order, repeating
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
-CELL_UNITS = 4096
+CELL_UNITS = 512
 #: units of a source that skip the flight and land together with the two that it leaves
 LANDING_UNITS = 12
 EPS = 1e-9
