@@ -14,6 +14,7 @@ knows of each shard's keys, by their place in what the shard sent.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 import numpy as np
@@ -129,6 +130,11 @@ def key_counts(keys: np.ndarray, counts: pa.Table, n_buckets: int) -> np.ndarray
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of finished jobs now rather than at the driver's next full collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop shuffle files of finished jobs now rather than at the driver's next full collection.
+
+    Spark's cleaner works in the background: the pauses give it time before the next job writes.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
