@@ -1,7 +1,9 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` key characters with a digit, or the
-value given to a credential's name (``password=...``). It is described by its
+A candidate is a run of at least ``SHORTEST`` key characters with a digit (with its
+base64 padding), the value given to a credential's name (``password=...``), or the
+password of an address (``://user:...@``); a word may have several, and each is a row.
+It is described by its
 length, the shares of its kinds of characters, the transitions between kinds,
 the variety of characters, how much of it is covered by dictionary words (the
 most frequent words of the corpus), whether it is part of a path, address or
@@ -41,12 +43,27 @@ from tablepulse.llm.common import SPACE_RUN, class_sample, filled, held_out
 from tablepulse.session import checkpointed
 
 SHORTEST = 12
-#: a key id, a run of key characters with a digit, or a value after a credential's name
-CANDIDATE = r"(?:AKIA|ASIA)[0-9A-Z]{16}|(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}|(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?[\"']?\s*[:=]\s*[\"']?[^\s\"']{6,}"
+_KEY = r"A-Za-z0-9+/_\-"
+#: a key id, or a run of key characters with a digit
+_RUN = rf"(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?<![{_KEY}])(?=[A-Za-z+/_\-]*+[0-9])[{_KEY}]{{{SHORTEST},}}"
+#: what a key may be written together with: no white space, quotes, brackets, signs and separators
+_PART = r"[\x21-\x7E\p{IsLatin}&&[^\"'`:=,;&?<>()\[\]{}|]]"
+#: a part that has a key, with the padding of base64; a sign that gives a value is no padding
+KEY = rf"(?<!{_PART})(?={_PART}*?(?:{_RUN})){_PART}++(?:={{1,2}}(?![=\"'`]?{_PART}))?"
+#: a credential's name and the sign of assignment
+_NAMED = r"(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?\\*[\"'`]?\]?[:=]{1,3}>?"
+#: a value ends at white space, a quote, or a separator that another assignment follows
+_VALUE = r"(?=[^\s\"'`]{6})([^\s\"'`&;,]*+(?:[&;,](?![\w.\-]++[\"'`]?\]?[:=])[^\s\"'`&;,]*+){0,200})"
+#: the value given to a credential's name, or the password of an address
+ASSIGNED = rf"{_NAMED}\\*[\"'`]?[(\[<]*{_VALUE}[\"'`]?"
+_LOGIN = r"://[^\s:/@\"'`]*+:([^\s/\"'`]+)@"
+#: a line's words: each ends at white space, or after the value that it gives to a credential
+_WORD = rf"(\S*?)(?:({ASSIGNED})|{_LOGIN})|\S+"
+CANDIDATE = rf"{_RUN}|{ASSIGNED}|{_LOGIN}"
 CREDENTIAL = r"(?i)(passw(or)?d|passwd|secret|token|api_?key|credential|auth)"
 #: forms of keys that are public knowledge
 KEY_FORM = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^AIza[0-9A-Za-z_\-]{35}$|^sk_live_[0-9a-zA-Z]{24,}$"
-PLAIN_FORM = r"^[0-9]+$|^[0-9]{1,4}([-/.:][0-9]{1,4})+$|^\+?[0-9][0-9\- ]+$"
+PLAIN_FORM = r"^[0-9]+$|^[0-9]{1,4}([-/.:T][0-9]{1,4})+$|^\+?[0-9][0-9\- ]+$"
 DICTIONARY_WORDS = 2000
 FIT_ROWS = 4000
 TREES, DEPTH, SEED = 30, 6, 7
@@ -58,23 +75,43 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, word_no, word (as written), secret (the value), before, after: one row per candidate."""
+    """doc_id, line_no, word_no, word (as written), secret (the value), name (what it is given to), before, after:
+    one row per candidate, of which a word may have several."""
     lines = docs.select("doc_id", F.posexplode(F.split(filled("text"), "\n", -1)).alias("line_no", "line")).where(F.col("line").rlike(CANDIDATE))
     # a value may stand apart from its name's sign of assignment
-    words = F.split(F.regexp_replace("line", r"\s*([:=])\s+(?=[\"'])", "$1"), SPACE_RUN)
-    words = lines.select("doc_id", "line_no", words.alias("w")).select("doc_id", "line_no", "w", F.posexplode("w").alias("word_no", "word"))
-    found = words.where(F.col("word").rlike(CANDIDATE))
-    at = F.col("word_no")
-    value = F.regexp_extract("word", r"^(?:.*[:=])?[\"'(\[<]*(.*?)[\"')\]>.,;!?%*&#$]*$", 1)
-    return found.select(
-        "doc_id",
-        "line_no",
-        "word_no",
-        "word",
-        value.alias("secret"),
-        F.when(at > 0, F.get("w", at - 1)).otherwise("").alias("before"),
-        F.coalesce(F.get("w", at + 1), F.lit("")).alias("after"),
-    ).where(F.length("secret") > 0)
+    line = F.regexp_replace("line", r"\s*([:=])\s+(?=[\"'])", "$1")
+    groups = {name: F.regexp_extract_all(line, F.lit(_WORD), F.lit(k)) for name, k in (("w", 0), ("head", 1), ("given", 2), ("value", 3), ("login", 4))}
+    # as if split at white space, a line that begins with it has an empty first word
+    indent = F.when(line.rlike(r"^\s"), 1).otherwise(0)
+    words = lines.select("doc_id", "line_no", indent.alias("_indent"), *(g.alias(n) for n, g in groups.items()))
+    words = words.withColumn("_z", F.arrays_zip("w", "head", "given", "value", "login"))
+    words = words.select("doc_id", "line_no", "_indent", "w", F.posexplode("_z").alias("at", "_z"))
+    found = words.select("doc_id", "line_no", "_indent", "at", "_z.*", F.when(F.col("at") > 0, F.get("w", F.col("at") - 1)).otherwise("").alias("before"), F.coalesce(F.get("w", F.col("at") + 1), F.lit("")).alias("after"))
+    # words with a sign of assignment to a credential, or a login, have their value and the keys before it
+    found = found.withColumn("_rest", F.when((F.col("given") != "") | (F.col("login") != ""), F.col("head")).otherwise(F.col("w")))
+    found = found.where((F.length("value") >= 6) | (F.col("login") != "") | F.col("_rest").rlike(_RUN))
+    found = found.withColumns({"_gaps": F.split("_rest", KEY, -1), "_keys": F.regexp_extract_all("_rest", F.lit(KEY), F.lit(0))})
+    piece = "struct<word:string,secret:string,name:string,assigned:boolean,quoted:boolean>"
+
+    def key(match: Column, i: Column) -> Column:
+        # what stands around a key, as far as it may matter
+        left = F.right(F.concat(F.coalesce(F.get("_keys", i - 1), F.lit("")), F.get("_gaps", i)), F.lit(256))
+        right = F.left(F.concat(F.get("_gaps", i + 1), F.coalesce(F.get("_keys", i + 1), F.lit(""))), F.lit(256))
+        around = r"[^\s\"'`,;&{}<>()\[\]|]*"
+        word = F.concat(F.regexp_extract(left, f"{around}$", 0), match, F.regexp_extract(right, f"^{around}", 0))
+        name = F.regexp_extract(left, r"([\w.\-]*)\\*[\"'`]?\]?[:=]+>?[\"'`(\[<{\\]*$", 1)
+        quoted = left.rlike("[\"'`]$") | right.rlike("^[\"'`]")
+        secret = F.regexp_replace(match, r"[.!%*#$]+$", "")
+        return F.struct(word, secret, name, left.rlike(r"[:=]>?[\"'`(\[<{\\]*$"), quoted).cast(piece)
+
+    inner = F.regexp_extract("value", _LOGIN, 1)
+    value = F.when(inner != "", inner).otherwise(F.regexp_replace("value", r"[.,;:?)\]}>\\]+$", ""))
+    own = F.when(F.col("login") != "", F.struct("login", "login", F.lit("password"), F.lit(True), F.lit(False)).cast(piece)).when(
+        F.length("value") >= 6, F.struct(value, value, F.regexp_extract("given", r"^[^:=]*", 0), F.lit(True), F.col("given").rlike("[\"'`]")).cast(piece)
+    )
+    pieces = F.concat(F.transform("_keys", key), F.filter(F.array(own), lambda x: x.isNotNull()))
+    found = found.select("doc_id", "line_no", (F.col("at") + F.col("_indent")).alias("word_no"), "before", "after", F.explode(pieces).alias("_p"))
+    return found.select("doc_id", "line_no", "word_no", "_p.*", "before", "after").where(F.length("secret") > 0)
 
 
 def dictionary(docs: DataFrame, words: int = DICTIONARY_WORDS) -> list[str]:
@@ -109,9 +146,9 @@ def features(found: DataFrame, words: list[str]) -> DataFrame:
             "f_path": F.col("word").rlike(r"://|^[./~]|/[^/]+/|\.[a-z]{2,4}$").cast("double"),
             "f_address": F.col("word").rlike("@|^www").cast("double"),
             "f_number": F.col("secret").rlike(PLAIN_FORM).cast("double"),
-            "f_assigned": F.col("word").rlike("[:=]").cast("double"),
-            "f_quoted": F.col("word").rlike("[\"']").cast("double"),
-            "f_named_before": F.concat_ws(" ", "before", F.regexp_extract("word", "^(.*)[:=]", 1)).rlike(CREDENTIAL).cast("double"),
+            "f_assigned": F.col("assigned").cast("double"),
+            "f_quoted": F.col("quoted").cast("double"),
+            "f_named_before": F.concat_ws(" ", "before", "name").rlike(CREDENTIAL).cast("double"),
             "f_named_after": F.col("after").rlike(CREDENTIAL).cast("double"),
             "f_before": F.length("before").cast("double"),
             "f_after": F.length("after").cast("double"),
@@ -131,7 +168,7 @@ def seed_labels(described: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> PipelineModel | None:
     """A random forest on a bounded sample of labelled findings; None where one label is missing."""
     usable = labelled.where(~held_out(F.col("doc_id"))).withColumn("label", F.col("label").cast("int"))
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), "line_no", "word_no")
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), "line_no", "word_no", "secret")
     sample = checkpointed(class_sample(usable, "label", key, fit_rows).select(F.col("label").cast("double").alias("label"), *FEATURES))
     if sample.select("label").distinct().count() < 2:
         return None
