@@ -50,12 +50,14 @@ _RUN = rf"(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?<![{_KEY}])(?=[A-Za-z+/_\-]*+[0-9])[{_KE
 _PART = r"[\x21-\x7E\p{IsLatin}&&[^\"'`:=,;&?<>()\[\]{}|]]"
 #: a part that has a key, with the padding of base64; a sign that gives a value is no padding
 KEY = rf"(?<!{_PART})(?={_PART}*?(?:{_RUN})){_PART}++(?:={{1,2}}(?![=\"'`]?{_PART}))?"
-#: a credential's name and the sign of assignment
-_NAMED = r"(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?\\*[\"'`]?\]?[:=]{1,3}>?"
+#: a credential's name and the sign of assignment, with or without white space at its sides
+_NAMED = r"(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?\\*[\"'`]?\]?\s*[:=]{1,3}>?\s*"
 #: a value ends at white space, a quote, or a separator that another assignment follows
-_VALUE = r"(?=[^\s\"'`]{6})([^\s\"'`&;,]*+(?:[&;,](?![\w.\-]++[\"'`]?\]?[:=])[^\s\"'`&;,]*+){0,200})"
+_VALUE = rf"(?![{{]*{_NAMED})(?=[^\s\"'`]{{6}})([^\s\"'`&;,]*+(?:[&;,](?![\w.\-]++[\"'`]?\]?\s*[:=])[^\s\"'`&;,]*+){{0,200}})"
+#: a quoted value is all between its quotes
+_QUOTED = r"[(\[]*(?:\"(?=[^\"]{6})([^\"\\]*+(?:\\.[^\"\\]*+){0,200})\"|'(?=[^']{6})([^'\\]*+(?:\\.[^'\\]*+){0,200})'|`([^`]{6,}+)`)"
 #: the value given to a credential's name, or the password of an address
-ASSIGNED = rf"{_NAMED}\\*[\"'`]?[(\[<]*{_VALUE}[\"'`]?"
+ASSIGNED = rf"{_NAMED}(?:{_QUOTED}|\\*[\"'`]?[(\[<]*{_VALUE}[\"'`]?)"
 _LOGIN = r"://[^\s:/@\"'`]*+:([^\s/\"'`]+)@"
 #: a line's words: each ends at white space, or after the value that it gives to a credential
 _WORD = rf"(\S*?)(?:({ASSIGNED})|{_LOGIN})|\S+"
@@ -78,18 +80,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, word_no, word (as written), secret (the value), name (what it is given to), before, after:
     one row per candidate, of which a word may have several."""
     lines = docs.select("doc_id", F.posexplode(F.split(filled("text"), "\n", -1)).alias("line_no", "line")).where(F.col("line").rlike(CANDIDATE))
-    # a value may stand apart from its name's sign of assignment
+    # other names may stand apart from the sign that gives them a quoted value, too
     line = F.regexp_replace("line", r"\s*([:=])\s+(?=[\"'])", "$1")
-    groups = {name: F.regexp_extract_all(line, F.lit(_WORD), F.lit(k)) for name, k in (("w", 0), ("head", 1), ("given", 2), ("value", 3), ("login", 4))}
+    fields = ["w", "head", "given", "double", "single", "back", "value", "login"]
+    groups = {name: F.regexp_extract_all(line, F.lit(_WORD), F.lit(k)) for k, name in enumerate(fields)}
     # as if split at white space, a line that begins with it has an empty first word
     indent = F.when(line.rlike(r"^\s"), 1).otherwise(0)
     words = lines.select("doc_id", "line_no", indent.alias("_indent"), *(g.alias(n) for n, g in groups.items()))
-    words = words.withColumn("_z", F.arrays_zip("w", "head", "given", "value", "login"))
+    words = words.withColumn("_z", F.arrays_zip(*fields))
     words = words.select("doc_id", "line_no", "_indent", "w", F.posexplode("_z").alias("at", "_z"))
     found = words.select("doc_id", "line_no", "_indent", "at", "_z.*", F.when(F.col("at") > 0, F.get("w", F.col("at") - 1)).otherwise("").alias("before"), F.coalesce(F.get("w", F.col("at") + 1), F.lit("")).alias("after"))
+    found = found.withColumn("_whole", F.concat("double", "single", "back"))
     # words with a sign of assignment to a credential, or a login, have their value and the keys before it
     found = found.withColumn("_rest", F.when((F.col("given") != "") | (F.col("login") != ""), F.col("head")).otherwise(F.col("w")))
-    found = found.where((F.length("value") >= 6) | (F.col("login") != "") | F.col("_rest").rlike(_RUN))
+    found = found.where((F.col("_whole") != "") | (F.length("value") >= 6) | (F.col("login") != "") | F.col("_rest").rlike(_RUN))
     found = found.withColumns({"_gaps": F.split("_rest", KEY, -1), "_keys": F.regexp_extract_all("_rest", F.lit(KEY), F.lit(0))})
     piece = "struct<word:string,secret:string,name:string,assigned:boolean,quoted:boolean>"
 
@@ -104,10 +108,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         secret = F.regexp_replace(match, r"[.!%*#$]+$", "")
         return F.struct(word, secret, name, left.rlike(r"[:=]>?[\"'`(\[<{\\]*$"), quoted).cast(piece)
 
-    inner = F.regexp_extract("value", _LOGIN, 1)
-    value = F.when(inner != "", inner).otherwise(F.regexp_replace("value", r"[.,;:?)\]}>\\]+$", ""))
+    # quotes show where a value ends, else closing brackets and the sentence's signs are not its own
+    value = F.when(F.col("_whole") != "", F.col("_whole")).otherwise(F.regexp_replace("value", r"[.,;:?)\]}>\\]+$", ""))
+    inner = F.regexp_extract(value, _LOGIN, 1)
+    value = F.when(inner != "", inner).otherwise(value)
     own = F.when(F.col("login") != "", F.struct("login", "login", F.lit("password"), F.lit(True), F.lit(False)).cast(piece)).when(
-        F.length("value") >= 6, F.struct(value, value, F.regexp_extract("given", r"^[^:=]*", 0), F.lit(True), F.col("given").rlike("[\"'`]")).cast(piece)
+        (F.col("_whole") != "") | (F.length("value") >= 6),
+        F.struct(value, value, F.regexp_extract("given", r"^[^:=]*", 0), F.lit(True), F.col("given").rlike("[\"'`]")).cast(piece),
     )
     pieces = F.concat(F.transform("_keys", key), F.filter(F.array(own), lambda x: x.isNotNull()))
     found = found.select("doc_id", "line_no", (F.col("at") + F.col("_indent")).alias("word_no"), "before", "after", F.explode(pieces).alias("_p"))

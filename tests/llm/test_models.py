@@ -174,6 +174,16 @@ def test_padded_keys_colons_and_several_keys_in_a_word(spark):
     assert secrets_of(spark, [line for line, _ in cases]) == [sorted(want) for _, want in cases]
 
 
+def test_values_apart_from_their_credentials_name(spark):
+    cases = [
+        ("password: hunter2abc", ["hunter2abc"]), ("password = correcthorse!", ["correcthorse!"]), ('api_key ="abc123"', ["abc123"]), ("api_key= abc123", ["abc123"]),
+        ("token :abc123", ["abc123"]), ("PASSWORD   =\tp@ss,w0rd&x", ["p@ss,w0rd&x"]), ("secret: 'correct horse battery'", ["correct horse battery"]),
+        ('{"password": "a b c d", "token":"e f g h","x": 1}', ["a b c d", "e f g h"]), ('config["password"] = "abc123"', ["abc123"]),
+        ('password: "unclosed value', ["unclosed"]), ("  prod1_db_password = hunter2abc, x", ["hunter2abc"]), ("credentials: {token: abc123}", ["abc123"]), ("password:   ", []), ("password is hunter", []),
+    ]
+    assert secrets_of(spark, [line for line, _ in cases]) == [sorted(want) for _, want in cases]
+
+
 def test_secret_scan_of_awkward_documents(spark):
     assert secrets.scan(X.empty(spark)).count() == 0
     got = secrets.scan(X.docs(spark)).collect()
