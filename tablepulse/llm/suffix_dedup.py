@@ -27,8 +27,12 @@ their sampled suffix at the same offset, and about one suffix in fourteen is sam
 Contents are compared byte by byte; hashes only choose samples, candidates and
 buckets. A full suffix array of all positions would need about five bytes and its
 priority queues tens of bytes for each byte of text, more than the disk allowed; see
-the README. A tuple that a shard repeats is sent once with its places, so a passage
-of a third of all documents is one tuple per shard and sample.
+the README. A tuple that a shard repeats is sent once with its places, so the inside of
+a passage of a third of all documents is one tuple per shard and sample. Tuples with
+different bytes around stay apart, as at the edges of a passage or around a frequent
+string of fewer than ``LENGTH`` bytes. So a gram of more than ``HOT`` documents is not
+kept together: each of its strings is a tuple of its own, dealt to a bucket by all its
+bytes, which decide it alone. A bucket then gets a string once from each shard.
 
 Defined cases: a null text counts as empty; texts shorter than ``LENGTH`` bytes keep
 all; null ids are larger than all others and equal to each other; rows that repeat
@@ -54,6 +58,10 @@ STARTS = LENGTH - GRAM + 1
 BEFORE, AFTER = STARTS - 1, LENGTH
 #: strings whose samples are chosen at once, which bounds the memory that a very long text takes
 SLICE = 4 << 20
+#: a gram of more documents is hot: its strings are dealt one by one
+HOT = 1 << 16
+#: tuples whose bytes are gathered at once
+TUPLES = 1 << 16
 LAST_ID = np.iinfo(np.int64).max
 
 _BYTE = mixed_bits(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -111,29 +119,47 @@ def _sample_keys(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return gram[new], np.searchsorted(doc[new], np.arange(len(at)))
 
 
-def _tuples(shard: pa.Table, counts: pa.Table, n_buckets: int) -> pa.Table:
+def _around(data: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The bytes that the strings of each sample reach, zero outside of them."""
+    reach = place[:, None] + np.arange(-BEFORE, AFTER)
+    inside = (reach >= first[:, None]) & (reach < last[:, None] + LENGTH)
+    return np.where(inside, data[np.clip(reach, 0, max(0, len(data) - 1))], 0).astype(np.uint8)
+
+
+def _tuples(shard: pa.Table, counts: pa.Table, n_buckets: int, hot: int) -> pa.Table:
     """A shard's suffix tuples: one row per bucket, with their fields as packed arrays."""
     shard = in_order(shard)
     data, at = buffer_of(shard.column("text"))
     place, first, last, gram = samples(data, at)
-    shared = key_counts(gram, counts, n_buckets) > 1
-    place, first, last, gram = place[shared], first[shared], last[shared], gram[shared]
+    many = key_counts(gram, counts, n_buckets)
+    # all shards know the same number, so they agree on the hot grams
+    alone, whole = np.flatnonzero(many > hot), np.flatnonzero((many > 1) & (many <= hot))
+    each = last[alone] - first[alone] + 1
+    start = np.arange(each.sum()) + np.repeat(first[alone] - np.cumsum(each) + each, each)
+    take = np.concatenate([whole, np.repeat(alone, each)])
+    place, gram = place[take], gram[take]
+    first, last = np.concatenate([first[whole], start]), np.concatenate([last[whole], start])
     ids = pc.fill_null(shard.column("doc_id"), LAST_ID).to_numpy()
     doc = ids[np.searchsorted(at, place, "right") - 1]
-    # the bytes that the strings of a sample reach, zero outside of them
-    reach = place[:, None] + np.arange(-BEFORE, AFTER)
-    around = np.where((reach >= first[:, None]) & (reach < last[:, None] + LENGTH), data[np.clip(reach, 0, max(0, len(data) - 1))], 0).astype(np.uint8)
     fewest, most = (place - last).astype(np.uint8), (place - first).astype(np.uint8)
+    parts = [slice(k, k + TUPLES) for k in range(0, len(place), TUPLES)]
     # equal tuples of the shard are one, with their places; a hash finds them and the bytes confirm it
-    weights = mixed_bits(np.arange(1, around.shape[1] + 1, dtype=np.uint64))
-    key = gram ^ (around.astype(np.uint64) * weights).sum(axis=1) ^ (fewest.astype(np.uint64) << np.uint64(8)) ^ most.astype(np.uint64)
+    weights = mixed_bits(np.arange(1, BEFORE + AFTER + 1, dtype=np.uint64))
+    key = gram ^ (fewest.astype(np.uint64) << np.uint64(8)) ^ most.astype(np.uint64)
+    for k in parts:
+        key[k] ^= (_around(data, place[k], first[k], last[k]).astype(np.uint64) * weights).sum(axis=1)
     _, lead, back = np.unique(key, return_index=True, return_inverse=True)
     lead = lead[back]
-    same = (around == around[lead]).all(axis=1) & (fewest == fewest[lead]) & (most == most[lead]) & (gram == gram[lead])
+    same = (fewest == fewest[lead]) & (most == most[lead]) & (gram == gram[lead])
+    for k in parts:
+        same[k] &= (_around(data, place[k], first[k], last[k]) == _around(data, place[lead[k]], first[lead[k]], last[lead[k]])).all(axis=1)
     lead = np.where(same, lead, np.arange(len(lead)))
+    # a string alone has its bucket by all its bytes
+    by = np.where(np.arange(len(key)) < len(whole), gram, mixed_bits(key))
+    bucket = ((by >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
     # by bucket, then tuple, then place: a tuple's places are in the order of their documents
-    bucket = ((gram >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
     order = np.lexsort((place, lead, bucket))
+    place_of = place
     lead, bucket, place, doc = lead[order], bucket[order], place[order], doc[order]
     head = np.flatnonzero(np.diff(lead, prepend=-1))
     total = np.diff(np.append(head, len(lead)))
@@ -143,6 +169,7 @@ def _tuples(shard: pa.Table, counts: pa.Table, n_buckets: int) -> pa.Table:
     cut = np.searchsorted(bucket[head], np.arange(n_buckets + 1))
     full = np.flatnonzero(np.diff(cut))
     ends = np.append(head, len(lead))
+    around = np.concatenate([np.zeros((0, BEFORE + AFTER), np.uint8), *(_around(data, place_of[k], first[k], last[k]) for k in (of[p] for p in parts))])
 
     def packed(values: np.ndarray) -> pa.Array:
         return pa.array([values[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary())
@@ -157,7 +184,7 @@ def _tuples(shard: pa.Table, counts: pa.Table, n_buckets: int) -> pa.Table:
             "own": packed(own.astype(np.uint32)),
             "total": packed(total.astype(np.uint32)),
             "places": pa.array([place[ends[cut[b]] : ends[cut[b + 1]]].astype(np.uint32).tobytes() for b in full], pa.binary()),
-            "around": packed(around[of]),
+            "around": packed(around),
         }
     )
 
@@ -264,8 +291,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     counts = shared_keys(texts, n_buckets, _sample_keys)
     fields = "bucket long, shard long, doc binary, fewest binary, most binary, own binary, total binary, places binary, around binary"
 
+    hot = HOT
+
     def send(shard: pa.Table, counts: pa.Table) -> pa.Table:
-        return _tuples(shard, counts, n_buckets)
+        return _tuples(shard, counts, n_buckets, hot)
 
     tuples = texts.groupBy("shard").cogroup(counts.groupBy("shard")).applyInArrow(send, fields)
     replies = tuples.groupBy("bucket").applyInArrow(_decide, "shard long, places binary, masks binary")

@@ -5,6 +5,7 @@ from fractions import Fraction
 
 import fixtures as X
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablepulse.llm import exact_dedup, graph, ngram_join, shards, suffix_dedup
@@ -103,6 +104,34 @@ def test_spans_and_kept_bytes_agree(spark):
         assert all(a + n < b for a, n, b in zip(r["span_starts"], r["span_lengths"], r["span_starts"][1:], strict=False))
 
 
+@pytest.mark.parametrize("hot", [1, 20])
+def test_repeats_of_hot_grams(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "TUPLES", 64)
+    monkeypatch.setattr(shards.sharded, "__defaults__", (2000,))
+    monkeypatch.setattr(shards, "BUCKET_BYTES", 3000)
+    r = random.Random(4)
+    some = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    line, passage = some(40), some(130)
+    texts = [*repeating_texts(5, 30), *((i, some(r.randint(0, 40)) + r.choice([line, passage]) + r.choice(["", some(40)])) for i in range(100, 200))]
+    got = suffix_dedup.removal_digests(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()
+    assert X.by_all(got) == X.by_all(X.removed([(i, (t or "").encode()) for i, t in texts], 50))
+
+
+def test_a_hot_gram_is_dealt_to_many_buckets(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "key_counts", lambda keys, counts, n_buckets: np.full(len(keys), 1 << 20))
+    r = random.Random(8)
+    some = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    line = some(40)
+    shard = pa.table({"shard": [0] * 200, "doc_id": list(range(200)), "text": [(some(40) + line + some(40)).encode() for _ in range(200)]})
+    dealt = {}
+    for hot in (1 << 16, 1 << 30):
+        out = suffix_dedup._tuples(shard, None, 16, hot)
+        dealt[hot] = [sum(line[8:32].encode() in row[k : k + 76] for k in range(0, len(row), 76)) for row in out.column("around").to_pylist()]
+    assert max(dealt[1 << 30]) > 3 * sum(dealt[1 << 30]) / 16
+    assert len(dealt[1 << 16]) == 16 and max(dealt[1 << 16]) < 1.5 * sum(dealt[1 << 16]) / 16
+
+
 def near_texts(seed, families=8):
     r = random.Random(seed)
     out, k = [], 0
