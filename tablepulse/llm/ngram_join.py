@@ -14,7 +14,8 @@ that only one document has links nothing, so most documents have no candidate.
    of a shingle's groups, each is tied to its nearest smaller one, which gives the
    same clusters of candidates with one row per group and shingle.
 4. Clusters are expanded to their members and verified: blocks of at most
-   ``BLOCK_SETS`` sets, in order of size, are compared with each block of their
+   ``BLOCK_SETS`` sets and about ``BLOCK_SHINGLES`` shingles (a larger set is a block
+   of its own), in order of size, are compared with each block of their
    cluster whose sizes allow a link, by matrix products of the sets. Every pair of
    members is decided by its exact intersection; pairs are never written as rows.
 5. Links, as spanning trees of each comparison, become components.
@@ -49,6 +50,8 @@ from tablepulse.session import checkpointed
 WORDS = 3
 THRESHOLD = Fraction(9, 10)
 BLOCK_SETS = 256
+#: shingles after which a block is closed, however few its sets
+BLOCK_SHINGLES = 1 << 20
 #: shingles of small clusters that one verifying task takes
 BIN_SHINGLES = 1 << 20
 #: bytes whose words are hashed at once
@@ -191,13 +194,16 @@ def _clusters(sets: DataFrame, t: Fraction) -> DataFrame:
 def _units(clusters: DataFrame, t: Fraction) -> DataFrame:
     """set_id, cluster, unit, left, right: each set with every comparison that it takes part in; ``unit`` is a task's work."""
     p, q = t.numerator, t.denominator
-    placed = clusters.withColumn("block", F.floor((F.row_number().over(Window.partitionBy("cluster").orderBy("n", "set_id")) - 1) / BLOCK_SETS))
+    order = Window.partitionBy("cluster").orderBy("n", "set_id")
+    sets_before, shingles_before = F.row_number().over(order) - 1, F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    # either bound that is reached begins a block; numbers may be left out
+    placed = clusters.withColumn("block", F.floor(sets_before / BLOCK_SETS) + F.floor(shingles_before / BLOCK_SHINGLES))
     placed = checkpointed(placed)
     blocks = checkpointed(placed.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("n").alias("most")))
     a, b = blocks.alias("a"), blocks.alias("b")
     fits = (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.block") <= F.col("b.block")) & (q * F.col("a.most") >= p * F.col("b.least"))
     pairs = a.join(b, fits).select("a.cluster", F.col("a.block").alias("left"), F.col("b.block").alias("right"))
-    several = blocks.where("block = 1").select("cluster").withColumn("_many", F.lit(True))
+    several = blocks.where("block > 0").select("cluster").distinct().withColumn("_many", F.lit(True))
     pairs = pairs.join(several, "cluster", "left")
     n_bins = max(1, -(-(clusters.agg(F.sum("n")).first()[0] or 0) // BIN_SHINGLES))
     # small clusters share a task; a comparison of a large one is a task of its own

@@ -159,6 +159,21 @@ def test_components_and_links(spark, monkeypatch, seed, width, threshold):
     assert X.by_all(got) == X.by_all(X.linked_components(texts, width, threshold))
 
 
+def test_blocks_are_closed_by_their_shingles(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 200)
+    clusters = spark.createDataFrame([(i, 90 + i, 7) for i in range(9)] + [(20, 500, 7), (21, 501, 7), (30, 5, 8), (31, 5, 8)], "set_id long, n long, cluster long")
+    blocks = {}
+    for r in ngram_join._units(clusters, Fraction(1, 10)).select("cluster", "block", "set_id").distinct().collect():
+        blocks.setdefault((r["cluster"], r["block"]), []).append(r["set_id"])
+    size = {i: 90 + i for i in range(9)} | {20: 500, 21: 501, 30: 5, 31: 5}
+    # without its last set, no block has as many shingles as the bound
+    assert all(sum(size[i] for i in ids) - max(size[i] for i in ids) < 200 for ids in blocks.values())
+    assert sorted(i for ids in blocks.values() for i in ids) == sorted(size) and sorted(blocks[8, 0]) == [30, 31]
+    texts = near_texts(5, 12)
+    got = ngram_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"), 3, Fraction(8, 10)).drop("shard", "row").collect()
+    assert X.by_all(got) == X.by_all(X.linked_components(texts, 3, Fraction(8, 10)))
+
+
 def test_awkward_documents_and_ties(spark):
     texts = [t[:2] for t in X.TEXTS]
     got = ngram_join.jaccard_components(X.docs(spark)).drop("shard", "row").collect()
