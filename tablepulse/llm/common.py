@@ -43,6 +43,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
 def filled(column: Column | str) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

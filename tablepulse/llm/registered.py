@@ -8,8 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepulse.llm import bpe, fingerprint, language, mixing, ngram_join, secrets, suffix_dedup, toxicity, warc_zip
-from tablepulse.llm.common import documents, labels, pages
+from tablepulse.llm import (
+    bpe,
+    fingerprint,
+    language,
+    lexical_search,
+    line_dedup,
+    mixing,
+    ngram_join,
+    periodic_runs,
+    secrets,
+    suffix_dedup,
+    toxicity,
+    warc_zip,
+)
+from tablepulse.llm.common import benchmark, documents, labels, pages
 from tablepulse.llm.exact_dedup import exact_duplicates
 
 
@@ -57,6 +70,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(periodic_runs.with_planted_runs(documents(spark, sf_dir)))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(documents(spark, sf_dir))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(lexical_search.build_index(documents(spark, sf_dir)), benchmark(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -68,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_warc_zip": op9_warc_zip,
     "op10_mixing": op10_mixing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
@@ -144,4 +172,87 @@ SQL: dict[str, str] = {
                    CASE WHEN i = 0 THEN 0 ELSE 2 * ends[i] END)), '') END)) AS kept_sha256
         FROM t LEFT JOIN k ON k.doc_id = t.doc_id
     """,
+    # pairs of equal words d apart, their stretches, and of the stretches that cover the same words the smallest d
+    "op11_periodic_runs": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                   list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                       lambda c: [ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda x, y: xor(xor(x, y) >> 1, CASE WHEN xor(x, y) & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)) AS c
+            FROM documents
+        ), u AS (
+            SELECT *, len(w)::BIGINT AS n, xor(c, 4294967295::UBIGINT)::BIGINT AS h FROM t
+        ), v AS (
+            SELECT *, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM u
+        ), x AS (
+            SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+            FROM v
+        ), e AS (
+            SELECT r, unnest(range(n)) AS i, unnest(w) AS word FROM x
+        ), g AS (
+            SELECT r, list(i ORDER BY i) AS places FROM e GROUP BY r, word HAVING count(*) > 2
+        ), o AS (
+            SELECT r, unnest(places) AS i, places FROM g
+        ), pairs AS (
+            SELECT r, i, unnest(list_filter(places, lambda j: j > i)) - i AS d FROM o
+        ), islands AS (
+            SELECT r, d, i, i - row_number() OVER (PARTITION BY r, d ORDER BY i) AS k FROM pairs
+        ), found AS (
+            SELECT r, d, min(i) AS s, count(*) + d AS l FROM islands GROUP BY r, d, k HAVING count(*) + d >= greatest(24, 3 * d)
+        ), runs AS (
+            SELECT r, s, l, min(d) AS q FROM found GROUP BY r, s, l
+        ), gone AS (
+            SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs
+        ), kept AS (
+            SELECT e.r, string_agg(word, ' ' ORDER BY e.i) AS txt FROM e ANTI JOIN gone ON gone.r = e.r AND gone.i = e.i GROUP BY e.r
+        ), listed AS (
+            SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS txt FROM runs GROUP BY r
+        ), best AS (
+            SELECT * FROM runs a WHERE NOT EXISTS (
+                SELECT 1 FROM runs b WHERE b.r = a.r AND (b.l * a.q > a.l * b.q OR (b.l * a.q = a.l * b.q AND (b.s < a.s OR (b.s = a.s AND b.q < a.q))))
+            )
+        )
+        SELECT x.doc_id, coalesce(listed.n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+               1000 * best.l // best.q AS exponent_milli, sha256(coalesce(listed.txt, '')) AS runs_sha256, sha256(coalesce(kept.txt, '')) AS collapsed_sha256
+        FROM x LEFT JOIN listed ON listed.r = x.r LEFT JOIN best ON best.r = x.r LEFT JOIN kept ON kept.r = x.r
+    """,
+    "op12_line_dedup": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+        ), l AS (
+            SELECT r, doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM t
+        ), k AS (
+            SELECT r, doc_id, pos, line, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l
+        ), h AS (
+            SELECT key, min(doc_id) AS first_id FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+        ), d AS (
+            SELECT k.*, h.key IS NOT NULL AND k.doc_id <> h.first_id AS gone FROM k LEFT JOIN h ON h.key = k.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+        FROM d GROUP BY r, doc_id
+    """,
+    "op13_lexical_search": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+        ), c AS (
+            SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM t WHERE len(w) > 0
+        ), q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), e AS (
+            SELECT r, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM t
+        ), f AS (
+            SELECT r, doc_id, n, term, count(*) AS tf FROM e WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, n, term
+        ), z AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS weight FROM f, c GROUP BY term, n_docs
+        ), s AS (
+            SELECT q.item_id, f.r, f.doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM q JOIN f ON f.term = q.term JOIN z ON z.term = q.term, c GROUP BY q.item_id, f.r, f.doc_id
+        )
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0
+        ) WHERE rank <= 50
+    """,
 }
