@@ -62,6 +62,16 @@ def parse_iso_date(c: Column) -> Column:
     return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
+def partition_order(c: Column) -> list[Column]:
+    """Partition values in the order of their type: numbers by value, then everything else (dates, months, text) by text."""
+    return [F.when(c.rlike(r"^[+-]?\d+(\.\d+)?$"), c.cast("double")).asc_nulls_last(), c.asc()]
+
+
+def newest_first(c: Column) -> list[Column]:
+    """The reverse of :func:`partition_order`."""
+    return [F.when(c.rlike(r"^[+-]?\d+(\.\d+)?$"), c.cast("double")).desc_nulls_first(), c.desc()]
+
+
 def change_ratio(cur: Column, prev: Column) -> Column:
     """(cur - prev) / prev; 0.0 when prev is 0; null when prev is null."""
     return F.when(prev.isNull(), F.lit(None).cast("double")).when(prev == 0, F.lit(0.0)).otherwise(

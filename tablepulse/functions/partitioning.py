@@ -48,8 +48,8 @@ class Partitioning:
         fmt = _GRAINS[self.grain]
         return key.cast("string") if fmt is None else F.date_format(key, fmt)
 
-    def where_in(self, df: DataFrame, values: Sequence[str]) -> Column:
-        """Predicate selecting rows whose partition value is in ``values``.
+    def where_in(self, df: DataFrame, values: Sequence[str | None]) -> Column:
+        """Predicate selecting rows whose partition value is in ``values`` (``None``: rows without a value).
 
         Day and month grains become ``col >= start AND col < end`` ranges typed
         like the column, so Catalyst pushes them into the scan. Adjacent
@@ -59,6 +59,10 @@ class Partitioning:
         values = list(values)
         if not values:
             return F.lit(False)
+        if None in values:
+            rest = [v for v in values if v is not None]
+            empty = F.col(self.column).isNull()
+            return empty | self.where_in(df, rest) if rest else empty
         if self.grain == "value":
             return F.col(self.column).isin(values)
         dtype = df.schema[self.column].dataType

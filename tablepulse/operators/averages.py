@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablepulse.functions.exprs import change_ratio, nan_to_null, partition_key_details, str_map
+from tablepulse.functions.exprs import change_ratio, nan_to_null, newest_first, partition_key_details, partition_order, str_map
 from tablepulse.functions.partitioning import Partitioning, as_partitioning
 from tablepulse.operators.results import metric_date_of, metric_rows
 
@@ -34,9 +34,9 @@ def average_change(
 ) -> DataFrame:
     """Metric ``average_change`` = (avg - previous avg) / previous avg per (partition, column).
 
-    The previous partition is the preceding partition value of the same
-    column; a previous average of 0 gives 0.0 and the first partition gives
-    no row.
+    The previous average is that of the last preceding partition in which the
+    column has a value; an average of 0 there gives 0.0 and the first partition
+    gives no row. A partition without any value gives ``average_missing`` = 1.
     """
     p = as_partitioning(partitioning)
     return average_change_metrics(partition_averages(df, table_name, p, columns), p.column, as_of, last)
@@ -49,13 +49,15 @@ def average_change_metrics(
 
     The window holds one column's partition list (one row per partition).
     """
-    w = Window.partitionBy("table_name", "column_name").orderBy("partition_value")
+    value = F.col("partition_value")
+    per_column = Window.partitionBy("table_name", "column_name")
+    before = per_column.orderBy(*partition_order(value)).rowsBetween(Window.unboundedPreceding, -1)
     # rows without a partition value are no partition to compare with
-    x = avgs.where(F.col("partition_value").isNotNull()).withColumn("prev", F.lag("average", 1).over(w))
+    x = avgs.where(value.isNotNull()).withColumn("prev", F.last("average", ignorenulls=True).over(before))
     if last is not None:
-        newest = Window.partitionBy("table_name", "column_name").orderBy(F.col("partition_value").desc())
-        x = x.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= last)
-    x = x.where(F.col("prev").isNotNull() & F.col("average").isNotNull())
+        x = x.withColumn("_r", F.row_number().over(per_column.orderBy(*newest_first(value)))).where(F.col("_r") <= last)
+    missing = F.col("average").isNull()
+    x = x.where(missing | F.col("prev").isNotNull())
     details = str_map(
         column=F.col("column_name"),
         average=F.col("average").cast("string"),
@@ -69,7 +71,7 @@ def average_change_metrics(
         F.col("table_name"),
         F.col("partition_value"),
         metric_date_of(F.col("partition_value"), as_of),
-        F.lit("average_change"),
-        change_ratio(F.col("average"), F.col("prev")),
+        F.when(missing, F.lit("average_missing")).otherwise(F.lit("average_change")),
+        F.when(missing, F.lit(1.0)).otherwise(change_ratio(F.col("average"), F.col("prev"))),
         details,
     )

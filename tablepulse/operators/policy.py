@@ -40,9 +40,13 @@ def _event(behavior: Column, table: Column, partition: Column, ts: Column, key:
 
 
 def events_from_results(
-    metrics: DataFrame | None = None, drift: DataFrame | None = None, run_ts: datetime | str | None = None
+    metrics: DataFrame | None = None, drift: DataFrame | None = None, run_ts: datetime | str | None = None, rules: DataFrame | None = None
 ) -> DataFrame:
-    """EVENT rows from METRIC rows (availability, freshness, null ratio, row count, average) and DRIFT rows."""
+    """EVENT rows from METRIC rows (availability, freshness, null ratio, row count, average) and DRIFT rows.
+
+    ``rules`` adds what fails without a metric: a table without any snapshot is a
+    freshness event of infinite age.
+    """
     parts: list[DataFrame] = []
     ts = lit_ts(run_ts)
     if metrics is not None:
@@ -65,8 +69,16 @@ def events_from_results(
                 *_event(F.lit("drift"), F.col("table_name"), F.col("partition_value"), ts, F.lit("drift_score"), F.col("score"), extra)
             )
         )
+    if rules is not None:
+        silent = rules.where((F.col("rule_id") == "freshness") & ~F.col("passed") & (F.col("observed") == "no_history"))
+        extra = F.create_map(F.lit("rule"), F.col("rule_id"), F.lit("observed"), F.col("observed"))
+        parts.append(
+            silent.select(
+                *_event(F.lit("freshness"), F.col("table_name"), F.col("partition_value"), ts, F.lit("age_hours"), F.lit(float("inf")), extra)
+            )
+        )
     if not parts:
-        raise ValueError("give metrics and/or drift results")
+        raise ValueError("give metrics, drift results or rules")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -108,7 +120,8 @@ def evaluate(events: DataFrame, rules: DataFrame | None = None, max_rule_rows: i
     def pick(idx: int) -> Column:
         return F.element_at(F.create_map(*[x for k, v in S.POLICY_TEXT.items() if v[idx] for x in (F.lit(k), F.lit(v[idx]))]), b)
 
-    sent_msg = F.when(is_fr, F.concat(F.lit("Stale by "), java_double_text(val - stale), F.lit("h"))).otherwise(pick(2))
+    never = F.lit(float("inf"))
+    sent_msg = F.when(is_fr & (val == never), F.lit("No snapshot known")).when(is_fr, F.concat(F.lit("Stale by "), java_double_text(val - stale), F.lit("h"))).otherwise(pick(2))
     enabled = F.col("enabled")
     first_metric = F.coalesce(F.element_at(F.map_values("metrics"), 1), nan)
     out = r.select(

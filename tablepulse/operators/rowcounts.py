@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import change_ratio, parse_iso_date, partition_key_details, str_map
+from tablepulse.functions.exprs import change_ratio, newest_first, parse_iso_date, partition_key_details, partition_order, str_map
 from tablepulse.operators.results import metric_date_of, metric_rows
 
 
@@ -23,8 +23,8 @@ def row_count_changes(
 ) -> DataFrame:
     """``row_count_dod_delta`` (1 partition back) and ``row_count_wow_delta`` (7 back).
 
-    Partitions are ordered by value within each table (statistics are one row
-    per partition, so each window holds one table's partition list). Only the
+    Partitions are ordered by value within each table, numbers as numbers (statistics
+    are one row per partition, so each window holds one table's partition list). Only the
     newest ``last`` partitions report (all by default), after the lag is taken.
     ``direction="next"`` compares with the following partition instead.
     Rows without a partition value are no partition: they are left out of the
@@ -32,9 +32,9 @@ def row_count_changes(
     """
     if direction not in ("previous", "next"):
         raise ValueError("direction must be 'previous' or 'next'")
-    order = F.col("partition_value").asc() if direction == "previous" else F.col("partition_value").desc()
-    w = Window.partitionBy("table_name").orderBy(order)
-    newest = Window.partitionBy("table_name").orderBy(F.col("partition_value").desc())
+    value = F.col("partition_value")
+    w = Window.partitionBy("table_name").orderBy(*(partition_order(value) if direction == "previous" else newest_first(value)))
+    newest = Window.partitionBy("table_name").orderBy(*newest_first(value))
     rc = F.col("record_count").cast("double")
     s1, s7 = steps
     x = stats.where(F.col("partition_value").isNotNull()).select(

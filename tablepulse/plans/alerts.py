@@ -37,7 +37,7 @@ def run_alerts(
     holds back; the last message says so, too. Decisions (one per event: partitions x checks, not rows) are checkpointed
     once, so messages and audit rows read the same decided alerts.
     """
-    ev = events_from_results(profile.metrics, profile.drift, run_ts)
+    ev = events_from_results(profile.metrics, profile.drift, run_ts, profile.rules)
     dec = checkpointed(evaluate(ev, rules, max_rule_rows))
     # messages are one row per batch of alerts: counting those beyond the cap reads the checkpointed alerts
     sent, held_messages, held_alerts = capped(messages(dec, channel, dedup=dedup, cap=False), channel.max_messages)

@@ -594,6 +594,7 @@ SQL["run_partitions"] = f"""WITH {STATS}, {ROWCOUNT}, {EV_DRIFT}, {NULLS},
     UNION ALL SELECT 'metric', table_name, partition_value, metric_name, metric_value, NULL, NULL FROM null_metrics
       WHERE table_name = 'events' AND column_name = 'value' AND partition_value IN {RUN_DAYS}
     UNION ALL SELECT 'metric', 'events', p, 'average_change', (average - prev) / prev, NULL, NULL FROM lagged WHERE prev IS NOT NULL
+    UNION ALL SELECT 'metric', 'events', min(p), 'no_history', 1.0, NULL, NULL FROM avgs WHERE average IS NOT NULL
     UNION ALL SELECT 'rule', 'events', NULL, 'pk_duplicates', 1.0 - d::DOUBLE / total::DOUBLE, d = total, CASE WHEN d = total THEN 'medium' ELSE 'high' END FROM pk
     UNION ALL SELECT 'drift', table_name, partition_value, column_name || '_psi_' || ref_name, score, NULL, CASE WHEN score >= 0.2 THEN 'high' ELSE 'medium' END
       FROM ev_psi WHERE partition_value IN {RUN_DAYS})
