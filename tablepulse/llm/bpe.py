@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -249,13 +249,14 @@ class Codec:
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def decode(self, ids: Sequence[int] | np.ndarray) -> bytes:
         """The bytes that ids stand for."""
+        ids = np.asarray(ids, np.int64)
         if len(ids) > LEAF_TOKENS:
             half = len(ids) // 2
             return self.decode(ids[:half]) + self.decode(ids[half:])
         begins = self.begins[ids]
-        lengths = self.begins[ids.astype(np.int64) + 1] - begins
+        lengths = self.begins[ids + 1] - begins
         if not lengths.all():
             raise KeyError("an id outside the vocabulary")
         ends = np.cumsum(lengths)
