@@ -195,13 +195,16 @@ class Codec:
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
+    def encode_piece(self, data: bytes) -> list[int]:
+        # a piece that is a token is that token, even if merges would not lead to it
+        return [self.ranks[data]] if data in self.ranks else self.tree(data)
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of new pieces. The leaves of all their trees are encoded together."""
         out, short, trees, leaves = {}, [], [], set()
         for piece in pieces:
             data = piece.encode()
             if data in self.ranks:
-                # a piece that is a token is that token, even if merges would not lead to it
                 out[piece] = self.ranks[data].to_bytes(4, "little")
             elif len(data) <= LEAF_BYTES:
                 short.append((piece, data))
@@ -216,7 +219,7 @@ class Codec:
             for data, ids in zip(part, self.merged_all(part), strict=True):
                 self.leaves.keep(data, np.frombuffer(ids, "<u4").tolist())
         for piece, data in trees:
-            out[piece] = np.array(self.tree(data), "<u4").tobytes()
+            out[piece] = np.array(self.encode_piece(data), "<u4").tobytes()
         for piece, ids in out.items():
             if len(piece) <= 64:
                 self.pieces.keep(piece, ids)
