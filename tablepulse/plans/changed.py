@@ -20,7 +20,6 @@ So the findings are those of a full run.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timedelta
@@ -33,7 +32,7 @@ from tablepulse.functions.exprs import lit_ts
 from tablepulse.operators.drift import DEFAULT_REFERENCES, drift_parts, reference_missing
 from tablepulse.plans.profile import Profile, TableSpec, partition_rows, run_profile
 from tablepulse.session import checkpointed
-from tablepulse.sinks.writer import write_table
+from tablepulse.sinks.versions import Versions
 from tablepulse.sources.manifest import MANIFEST, changed_files, list_files, partitions_of_files
 
 ROWS = "table_name string, partition_value string, record_count long, nulls map<string,bigint>, averages map<string,double>, max_ts timestamp"
@@ -59,40 +58,11 @@ class ChangedRun:
     run_id: int
 
 
-class RunState:
+class RunState(Versions):
     """The state tables ``<prefix>_<kind>`` in ``folder``."""
 
     def __init__(self, spark: SparkSession, prefix: str, folder: str):
-        self.spark, self.prefix, self.folder = spark, prefix, folder.rstrip("/")
-
-    def name(self, kind: str) -> str:
-        return f"{self.prefix}_{kind}"
-
-    def last_run(self) -> int:
-        """The number of the last finished run; 0 before the first."""
-        if not self.spark.catalog.tableExists(self.name("runs")):
-            return 0
-        return self.spark.table(self.name("runs")).agg(F.max("run_id")).first()[0] or 0
-
-    def next_run(self) -> int:
-        """A number above all others, also above those of runs that died: microseconds since 1970."""
-        return max(self.last_run() + 1, time.time_ns() // 1000)
-
-    def read(self, kind: str) -> DataFrame:
-        run = self.last_run()
-        if not run:
-            return self.spark.createDataFrame([], SCHEMAS[kind])
-        return self.spark.table(self.name(kind)).where(F.col("run_id") == run).drop("run_id")
-
-    def write(self, run_id: int, frames: dict[str, DataFrame]) -> None:
-        for kind, frame in frames.items():
-            frame = frame.withColumn("run_id", F.lit(run_id).cast("long"))
-            write_table(self.spark, self.name(kind), frame, "append", ["run_id"], f"{self.folder}/{kind}")
-        done = self.spark.createDataFrame([(run_id,)], "run_id long").coalesce(1)
-        write_table(self.spark, self.name("runs"), done, "append", path=f"{self.folder}/runs")
-
-    def tables(self) -> list[str]:
-        return [self.name(k) for k in (*SCHEMAS, "runs")]
+        super().__init__(spark, prefix, folder, SCHEMAS)
 
 
 def _shifted(days: Sequence[str | None], by: Sequence[int]) -> set[str]:

@@ -144,3 +144,88 @@ SQL["stream_drift"] = f"""
     SELECT strftime(d, '%Y-%m-%d') AS partition_value, 'value_psi_' || name AS metric_name, round(score, 6) AS value, CASE WHEN score >= 0.2 THEN 'high' ELSE 'medium' END AS severity FROM scored
     UNION ALL SELECT strftime(v.d, '%Y-%m-%d'), 'late_rows', count(*), NULL FROM v WHERE late AND v.d > (SELECT min(d) FROM v) GROUP BY v.d
 """
+
+# a run sends the five that have waited longest (CRITICAL first among equals, then by name); the machine is unrolled by run
+_RUN_DAYS = ["2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"]
+
+
+def _alert_runs() -> str:
+    ctes = ["""n AS (SELECT event_type || '_' || user_id % 6 AS t, ts::DATE AS d, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2)""",
+            """c AS (SELECT a.t, a.d, abs((a.n - b.n) / b.n) > 0.2 AS fires FROM n a JOIN n b ON a.t = b.t AND a.d = b.d + 1)""",
+            """s0 AS (SELECT DISTINCT t, NULL::VARCHAR AS status, NULL::VARCHAR AS waiting, NULL::INTEGER AS since, 0::BIGINT AS runs FROM n)"""]
+    for i, day in enumerate(_RUN_DAYS, 1):
+        ctes.append(f"""m{i} AS (
+            SELECT s.t, coalesce(s.status = 'open', false) AS was, c.fires, s.status, s.waiting, s.since, s.runs FROM s{i - 1} s LEFT JOIN c ON c.t = s.t AND c.d = DATE '{day}')""")
+        ctes.append(f"""u{i} AS (
+            SELECT t, CASE WHEN fires THEN 'open' WHEN fires IS NOT NULL AND was THEN 'resolved' ELSE status END AS status,
+                   CASE WHEN fires AND NOT was THEN CASE WHEN waiting = 'resolved' THEN NULL ELSE 'opened' END
+                        WHEN NOT fires AND was THEN CASE WHEN waiting = 'opened' THEN NULL ELSE 'resolved' END ELSE waiting END AS waiting,
+                   CASE WHEN fires <> was THEN {i} ELSE since END AS since,
+                   CASE WHEN fires AND NOT was THEN 1 WHEN fires THEN runs + 1 ELSE runs END AS runs FROM m{i})""")
+        ctes.append(f"o{i} AS (SELECT t, waiting FROM u{i} WHERE waiting IS NOT NULL ORDER BY since, t LIMIT 5)")
+        ctes.append(f"s{i} AS (SELECT u.t, u.status, CASE WHEN o.t IS NULL THEN u.waiting END AS waiting, u.since, u.runs FROM u{i} u LEFT JOIN o{i} o ON o.t = u.t)")
+    last = len(_RUN_DAYS)
+    sent = " UNION ALL ".join(f"SELECT '{day}' AS run, t AS table_name, waiting AS what, NULL::BIGINT AS runs FROM o{i}" for i, day in enumerate(_RUN_DAYS, 1))
+    return f"WITH {', '.join(ctes)} {sent} UNION ALL SELECT 'state', t, status || '/' || coalesce(waiting, '-'), runs FROM s{last} WHERE status IS NOT NULL"
+
+
+SQL["alert_state_runs"] = _alert_runs()
+
+SQL["rules_asof"] = """
+    WITH cfg AS (SELECT * FROM (VALUES
+        (NULL, NULL::BOOLEAN, 0.30::DOUBLE, 'WARN', TIMESTAMP '2024-01-01 00:00:00'),
+        (NULL, NULL, 0.50, NULL, TIMESTAMP '2024-01-12 06:00:00'),
+        ('click', NULL, 0.10, 'CRITICAL', TIMESTAMP '2024-01-05 00:00:00'),
+        ('click', false, NULL, NULL, TIMESTAMP '2024-01-10 12:30:00'),
+        ('click', true, 0.20, NULL, TIMESTAMP '2024-01-10 18:00:00'),
+        ('view', NULL, NULL, 'INFO', TIMESTAMP '2024-01-20 23:59:59')) v(t, enabled, threshold, severity, since)
+    ), over AS (SELECT * FROM cfg WHERE t IS NOT NULL), dflt AS (SELECT * FROM cfg WHERE t IS NULL)
+    SELECT e.event_id, e.event_type AS table_name, coalesce(o.enabled, d.enabled, true) AS enabled, coalesce(o.threshold, d.threshold, 0.20) AS threshold,
+           coalesce(o.severity, d.severity, 'WARN') AS severity
+    FROM events e ASOF LEFT JOIN over o ON o.t = e.event_type AND e.ts >= o.since ASOF LEFT JOIN dflt d ON e.ts >= d.since
+"""
+
+# the brute force: the whole cube, and of its failing cells those without a failing part
+_CUBE = """base AS (
+        SELECT lang, source, floor(log10(n_chars + 1))::BIGINT AS size, d.doc_id % 3 AS third, l.quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+    ), cube AS (
+        SELECT GROUPING(lang) = 0 AS u1, GROUPING(source) = 0 AS u2, GROUPING(size) = 0 AS u3, GROUPING(third) = 0 AS u4, lang, source, size, third,
+               count(*) AS rows, count(*) FILTER (quality IS NULL) AS null_rows
+        FROM base GROUP BY CUBE (lang, source, size, third)
+    ), cells AS (
+        SELECT *, u1::INT + u2::INT + u3::INT + u4::INT AS level, null_rows / rows > 0.7 AND rows >= 15 AS fails FROM cube
+    )"""
+_PART = """p.level < c.level AND (NOT p.u1 OR (c.u1 AND p.lang IS NOT DISTINCT FROM c.lang)) AND (NOT p.u2 OR (c.u2 AND p.source IS NOT DISTINCT FROM c.source))
+        AND (NOT p.u3 OR (c.u3 AND p.size IS NOT DISTINCT FROM c.size)) AND (NOT p.u4 OR (c.u4 AND p.third IS NOT DISTINCT FROM c.third))"""
+SQL["failing_segments"] = f"""
+    WITH {_CUBE}
+    SELECT level, concat_ws(', ', CASE WHEN u1 THEN 'lang=' || coalesce(lang, '<null>') END, CASE WHEN u2 THEN 'source=' || coalesce(source, '<null>') END,
+               CASE WHEN u3 THEN 'size=' || coalesce(size::VARCHAR, '<null>') END, CASE WHEN u4 THEN 'third=' || coalesce(third::VARCHAR, '<null>') END) AS segment,
+           rows, null_rows, round(null_rows / rows, 6) AS null_rate
+    FROM cells c WHERE fails AND NOT EXISTS (SELECT 1 FROM cells p WHERE p.fails AND {_PART})
+"""
+# a cell is looked at when no part of it fails or is hopeless
+SQL["failing_segments_levels"] = f"""
+    WITH {_CUBE}, seen AS (
+        SELECT * FROM cells c WHERE NOT EXISTS (SELECT 1 FROM cells p WHERE (p.fails OR p.rows < 15 OR p.null_rows = 0) AND {_PART})
+    ), per AS (
+        SELECT level, count(*) AS candidates, count(*) FILTER (fails) AS failing, count(*) FILTER (NOT fails AND rows >= 15 AND null_rows > 0) AS alive FROM seen GROUP BY level
+    )
+    SELECT l::INTEGER AS level, coalesce(candidates, 0) AS candidates, coalesce(failing, 0) AS failing, coalesce(alive, 0) AS alive
+    FROM range(5) t(l) LEFT JOIN per ON per.level = l
+    WHERE l = 0 OR EXISTS (SELECT 1 FROM per q WHERE q.level = l - 1 AND q.alive > 0)
+"""
+
+SQL["publish_checked"] = """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month, 1 AS refused FROM orders
+    WHERE strftime(o_orderdate, '%Y') <> '1998' OR o_orderstatus = 'F'
+       OR strftime(o_orderdate, '%Y-%m') NOT IN (SELECT strftime(o_orderdate, '%Y-%m') FROM orders WHERE o_orderstatus = 'F')
+"""
+
+SQL["write_nested"] = """
+    SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 1 THEN 5000000000 ELSE floor(o_totalprice)::BIGINT END AS whole,
+           CASE WHEN o_orderkey % 3 <> 1 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS priority,
+           o_custkey AS cust, CASE WHEN o_orderkey % 3 = 1 THEN 'x' END AS note, o_custkey + CASE WHEN o_orderkey % 3 = 1 THEN 5000000000 ELSE 0 END AS tag,
+           CASE WHEN o_orderkey % 3 = 1 THEN 'late' END AS batch
+    FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'
+"""

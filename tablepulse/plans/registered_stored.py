@@ -8,15 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepulse.functions.exprs import as_instant
 from tablepulse.functions.partitioning import Partitioning
 from tablepulse.operators import sketches as SK
+from tablepulse.operators.alert_state import AlertState
 from tablepulse.operators.drift import day_values
+from tablepulse.operators.lattice import smallest_failing_segments
 from tablepulse.operators.policy import evaluate, events_from_results
+from tablepulse.operators.rowcounts import row_count_changes
+from tablepulse.operators.uniqueness import pk_duplicates
 from tablepulse.plans import demo
 from tablepulse.plans.changed import FileTable, RunState, run_changed
 from tablepulse.plans.profile import TableSpec, partition_info, run_profile, stored_rows
 from tablepulse.session import checkpointed, work_path
+from tablepulse.sinks.nested import write_nested
+from tablepulse.sinks.publish import Publisher, PublishRefused
 from tablepulse.sinks.writer import write_table
+from tablepulse.sources.rules_asof import resolve_rules_asof
 from tablepulse.sources.stats import history_from_column, partition_stats
 from tablepulse.streaming.drift import closed_drift, daily_references, drift_stream, late_rows
 from tablepulse.streaming.freshness import freshness_stream, use_timers
@@ -238,6 +246,120 @@ def q_stream_drift(spark, sf):
     return drifted.unionByName(lost)
 
 
+# ---------------------------------------------------------------- alerts over runs, settings over time
+ALERT_DAYS = ["2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"]
+
+
+def _day_decisions(spark: SparkSession, sf: str, day: str) -> DataFrame:
+    """Decisions of one day's run: the change of each group's rows against the day before."""
+    ev = demo.read(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    pair = ev.where(F.col("day").between(F.date_sub(F.lit(day).cast("date"), 1), F.lit(day).cast("date")))
+    group = F.concat_ws("_", "event_type", F.col("user_id") % 6)
+    stats = pair.groupBy(group.alias("table_name"), F.date_format("day", "yyyy-MM-dd").alias("partition_value")).agg(F.count(F.lit(1)).alias("record_count"))
+    changes = row_count_changes(stats, as_of=day)
+    return evaluate(events_from_results(changes, None, f"{day}T12:00:00Z"))
+
+
+def q_alert_state_runs(spark, sf):
+    """Four daily runs with a cap of five alerts each: what each run sends, and the state that is left after the last."""
+    prefix, folder = fresh_table(spark, "alerts")
+    state = AlertState(spark, prefix, folder)
+    sent = None
+    for day in ALERT_DAYS:
+        ts = f"{day}T12:00:00Z"
+        out = state.run(_day_decisions(spark, sf, day), ts, 5)
+        part = out.select(F.lit(day).alias("run"), "table_name", F.col("waiting").alias("what"), F.lit(None).cast("long").alias("runs"))
+        sent = part if sent is None else sent.unionByName(part)
+    left = state.read("alerts").select(F.lit("state").alias("run"), "table_name", F.concat_ws("/", "status", F.coalesce("waiting", F.lit("-"))).alias("what"), "runs")
+    return taken(sent.unionByName(left), *state.tables())
+
+
+#: settings of the query below: (table, behaviour, enabled, threshold, severity, from)
+TIMED_SETTINGS = [
+    (None, "row_count_dod", None, 0.30, "WARN", "2024-01-01 00:00:00"),
+    (None, "row_count_dod", None, 0.50, None, "2024-01-12 06:00:00"),
+    ("click", "row_count_dod", None, 0.10, "CRITICAL", "2024-01-05 00:00:00"),
+    ("click", "row_count_dod", False, None, None, "2024-01-10 12:30:00"),
+    ("click", "row_count_dod", True, 0.20, None, "2024-01-10 18:00:00"),
+    ("view", "row_count_dod", None, None, "INFO", "2024-01-20 23:59:59"),
+]
+
+
+def q_rules_asof(spark, sf):
+    """Settings that hold at the time of each event of the table, as events of its type's row count."""
+    rows = [(t, b, e, x, None, sev, at) for t, b, e, x, sev, at in TIMED_SETTINGS]
+    settings = spark.createDataFrame(rows, "table_name string, behavior string, enabled boolean, threshold double, stale_hours int, severity string, at string")
+    settings = settings.withColumn("valid_from", F.col("at").cast("timestamp")).drop("at")
+    ev = demo.read(spark, sf, "events")
+    events = ev.select("event_id", F.col("event_type").alias("table_name"), F.lit("row_count_dod").alias("behavior"), as_instant(F.col("ts"), ev.schema["ts"].dataType).alias("ts"))
+    return resolve_rules_asof(events, settings).select("event_id", "table_name", "enabled", "threshold", "severity")
+
+
+# ---------------------------------------------------------------- segments
+def _segments(spark: SparkSession, sf: str):
+    docs = demo.read(spark, sf, "documents").join(demo.read(spark, sf, "labels"), "doc_id", "left")
+    docs = docs.withColumn("size", F.floor(F.log10(F.col("n_chars") + 1))).withColumn("third", F.col("doc_id") % 3)
+    return smallest_failing_segments(docs, "quality", ["lang", "source", "size", "third"], 0.7, 15)
+
+
+def q_failing_segments(spark, sf):
+    """The smallest combinations of four dimensions with more than 70 % of unlabelled documents."""
+    return _segments(spark, sf).segments.withColumn("null_rate", F.round("null_rate", 6))
+
+
+def q_failing_segments_levels(spark, sf):
+    """How many segments each level of the search looked at."""
+    return _segments(spark, sf).levels
+
+
+# ---------------------------------------------------------------- publishing, nested schemas
+def q_publish_checked(spark, sf):
+    """Months are published after a check, a month with repeated keys is refused, other months are replaced, and one
+    publication is taken back."""
+    fqn, folder = fresh_table(spark, "publish")
+    orders = demo.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    table = Publisher(spark, fqn, "month", folder)
+
+    def unique(staged: DataFrame) -> DataFrame:
+        return pk_duplicates(staged, ["o_orderkey"], fqn, ts=AS_OF)
+
+    in_1998 = orders.where(F.col("month").startswith("1998"))
+    table.publish(orders, [unique])
+    refused = 0
+    try:
+        table.publish(in_1998.unionByName(in_1998), [unique])
+    except PublishRefused:
+        refused = 1
+    table.publish(in_1998.where("o_orderstatus = 'F'"), [unique])
+    table.revert(table.publish(orders.where(F.col("month").startswith("1997")).withColumn("o_totalprice", F.lit(0.0)), [unique]))
+    return taken(spark.table(fqn).withColumn("refused", F.lit(refused)), *table.tables())
+
+
+def q_write_nested(spark, sf):
+    """Orders as nested rows are appended in three shapes (old, wider with new fields, old again) and read back flat."""
+    fqn, folder = fresh_table(spark, "nested")
+    o = demo.read(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    key, line = F.col("o_orderkey"), F.col("o_custkey").cast("int")
+    price = F.struct(F.floor("o_totalprice").cast("int").alias("whole"), F.col("o_orderstatus").alias("status"))
+    narrow = o.where(key % 3 != 1).select(
+        key.cast("int").alias("k"), price.alias("price"), F.array(F.struct(line.alias("cust"))).alias("lines"), F.create_map(F.lit("n"), line).alias("tags")
+    )
+    more = F.struct(F.lit(5_000_000_000).alias("whole"), F.struct(F.col("o_orderpriority").alias("name")).alias("priority"))
+    wide = o.where(key % 3 == 1).select(
+        key.alias("k"), more.alias("price"), F.array(F.struct(F.col("o_custkey").alias("cust"), F.lit("x").alias("note"))).alias("lines"),
+        F.create_map(F.lit("n"), F.col("o_custkey") + 5_000_000_000).alias("tags"), F.lit("late").alias("batch"),
+    )
+    write_nested(spark, fqn, narrow.where(key % 3 == 0), folder)
+    write_nested(spark, fqn, wide, folder)
+    write_nested(spark, fqn, narrow.where(key % 3 == 2), folder)
+    t = spark.table(fqn)
+    flat = t.select(
+        "k", F.col("price.whole").alias("whole"), F.col("price.status").alias("status"), F.col("price.priority.name").alias("priority"),
+        F.col("lines")[0]["cust"].alias("cust"), F.col("lines")[0]["note"].alias("note"), F.col("tags")["n"].alias("tag"), "batch",
+    )
+    return taken(flat, fqn)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sketch_distinct_ranges": q_sketch_distinct_ranges,
     "pk_duplicates_stored": q_pk_duplicates_stored,
@@ -248,4 +370,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_changed_files": q_run_changed_files,
     "stream_freshness": q_stream_freshness,
     "stream_drift": q_stream_drift,
+    "alert_state_runs": q_alert_state_runs,
+    "rules_asof": q_rules_asof,
+    "failing_segments": q_failing_segments,
+    "failing_segments_levels": q_failing_segments_levels,
+    "publish_checked": q_publish_checked,
+    "write_nested": q_write_nested,
 }

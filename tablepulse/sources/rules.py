@@ -17,7 +17,7 @@ from tablepulse import schemas as S
 from tablepulse.functions.exprs import severity_rank
 from tablepulse.functions.joins import bounded_broadcast
 
-_FIELDS = ("enabled", "threshold", "stale_hours", "severity")
+FIELDS = ("enabled", "threshold", "stale_hours", "severity")
 
 
 def _norm_severity(v: Any) -> str | None:
@@ -70,7 +70,7 @@ def _builtin(field: str, behavior: Column) -> Column:
     return F.element_at(F.create_map(*pairs), behavior)
 
 
-def _collapse(rules: DataFrame, keys: list[str]) -> DataFrame:
+def collapse(rules: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key; duplicates merge strictly (disabled wins, lowest limits, highest severity)."""
     return rules.groupBy(*keys).agg(
         F.bool_and("enabled").alias("enabled"),
@@ -88,19 +88,24 @@ def resolve_rules(events: DataFrame, rules: DataFrame | None, max_rule_rows: int
     """
     out = events
     if rules is not None:
-        r = rules.select("table_name", "behavior", *[F.col(c) for c in _FIELDS])
-        over = _collapse(r.where(F.col("table_name").isNotNull()), ["table_name", "behavior"])
-        dflt = _collapse(r.where(F.col("table_name").isNull()), ["behavior"])
-        over = over.select("table_name", "behavior", *[F.col(c).alias("o_" + c) for c in _FIELDS])
-        dflt = dflt.select("behavior", *[F.col(c).alias("d_" + c) for c in _FIELDS])
+        r = rules.select("table_name", "behavior", *[F.col(c) for c in FIELDS])
+        over = collapse(r.where(F.col("table_name").isNotNull()), ["table_name", "behavior"])
+        dflt = collapse(r.where(F.col("table_name").isNull()), ["behavior"])
+        over = over.select("table_name", "behavior", *[F.col(c).alias("o_" + c) for c in FIELDS])
+        dflt = dflt.select("behavior", *[F.col(c).alias("d_" + c) for c in FIELDS])
         out = out.join(bounded_broadcast(over, max_rule_rows), ["table_name", "behavior"], "left").join(
             bounded_broadcast(dflt, max_rule_rows), ["behavior"], "left"
         )
     else:
-        out = out.select("*", *[F.lit(None).alias("o_" + c) for c in _FIELDS], *[F.lit(None).alias("d_" + c) for c in _FIELDS])
+        out = out.select("*", *[F.lit(None).alias("o_" + c) for c in FIELDS], *[F.lit(None).alias("d_" + c) for c in FIELDS])
+    return merged_settings(out, events.columns)
+
+
+def merged_settings(out: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and the settings: each field of the override (``o_…``), else of the default (``d_…``), else built in."""
     b = F.col("behavior")
     return out.select(
-        *events.columns,
+        *columns,
         F.coalesce("o_enabled", "d_enabled", _builtin("enabled", b), F.lit(True)).alias("enabled"),
         F.upper(F.coalesce("o_severity", "d_severity", _builtin("severity", b), F.lit("WARN"))).alias("severity"),
         F.coalesce("o_threshold", "d_threshold", _builtin("threshold", b)).cast("double").alias("threshold"),
