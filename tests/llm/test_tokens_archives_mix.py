@@ -198,6 +198,6 @@ def test_mix_of_nothing(spark):
 
 
 def test_registered_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in registered.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registered.QUERIES) == list(range(1, 14))
     assert set(registered.SQL) <= set(registered.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "n-gram Jaccard join", "mixing sources to target weights", "byte-level BPE encoding and decoding"]
