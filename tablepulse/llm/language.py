@@ -96,8 +96,12 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS)
     if not languages:
         return None
     per_class = max(8, fit_rows // len(languages))
-    picked = class_sample(labelled.select("doc_id", "lang"), "lang", F.col("doc_id"), per_class)
-    sample = labelled.join(F.broadcast(picked.select("doc_id", "lang", "rank")), ["doc_id", "lang"])
+    # rows are told apart by id and text, and equal ones count once: the sample is bounded however often an id repeats
+    labelled = labelled.withColumn("_text", F.xxhash64("text"))
+    keys = ["doc_id", "lang", "_text"]
+    picked = class_sample(labelled.select(*keys).distinct(), "lang", F.struct("doc_id", "_text"), per_class)
+    equal = labelled.join(F.broadcast(picked.select(*keys, "rank")), keys)
+    sample = equal.groupBy(*keys, "rank").agg(F.first("text").alias("text"))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
@@ -106,7 +110,7 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS)
                 bits = np.packbits(presence(part.column("text").to_pylist()), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("rank"), pa.array([b.tobytes() for b in bits], pa.binary())], ["lang", "rank", "bits"])
 
-    # bounded: max(fit_rows, 8 x languages) rows of 2 KB
+    # at most max(fit_rows, 8 x languages) rows of 2 KB
     rows = sorted((r["lang"], r["rank"], bytes(r["bits"])) for r in sample.select("lang", "rank", "text").mapInArrow(packed, "lang string, rank int, bits binary").collect())
     x = np.unpackbits(np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1), axis=1)
     place = {name: i for i, name in enumerate(languages)}

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablepulse.llm.common import class_sample, held_out, small_batches
@@ -144,8 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxic
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     picked = class_sample(known, "toxic", F.col("doc_id"), fit_rows).select(F.col("doc_id").alias("_id"), "toxic")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    rows = rows.withColumn("_k", one).where("_k = 1").select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text"))
+    # of an id's texts one, by an aggregation: a task brings one row of an id, however often it repeats
+    one = F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text"))
+    rows = rows.groupBy("doc_id", "toxic").agg(one.alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):

@@ -31,6 +31,28 @@ def test_language_of_awkward_documents(spark):
             assert r["lang_pred"] in {"en", "de", "fr"}
 
 
+def test_language_sample_is_bounded_when_an_id_repeats(spark, monkeypatch):
+    seen = []
+    fit = language.fit
+    monkeypatch.setattr(language, "fit", lambda languages, label, *rest, **more: (seen.append(len(label)), fit(languages, label, *rest, **more))[1])
+    # 30,000 rows of one id, 3,000 texts of them, and equal rows of another
+    one = spark.range(30_000).selectExpr("1L AS doc_id", "concat('der hund ', id % 3000) AS text", "'de' AS lang")
+    same = spark.range(5_000).selectExpr("2L AS doc_id", "'the dog' AS text", "'en' AS lang")
+    rest = spark.range(3, 900).selectExpr("id AS doc_id", "concat('the cat ', id) AS text", "'en' AS lang")
+    docs = one.unionByName(same).unionByName(rest)
+    model = language.train(docs, fit_rows=400)
+    assert seen[0] <= 400
+    got = language.identify(docs.where("doc_id < 5").dropDuplicates(["doc_id"]), model).collect()
+    assert {(r["doc_id"], r["lang_pred"]) for r in got} == {(1, "de"), (2, "en"), (3, "en"), (4, "en")}
+
+
+def test_language_of_equal_texts_in_two_languages(spark):
+    rows = [(k, t, la) for k in range(1, 200) for t, la in (("hola mundo", "es"), ("hola mundo", "pt"), ("bonjour monde", "fr"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify(docs, language.train(docs)).select("lang_pred", "score").distinct().collect()
+    assert {r["lang_pred"] for r in got} - {"fr"} <= {"es", "pt"} and len({r["lang_pred"] for r in got}) == 2
+
+
 def test_language_of_nothing(spark):
     assert language.train(X.empty(spark)) is None
     assert language.identify(X.empty(spark), None).count() == 0
@@ -83,6 +105,18 @@ def test_toxicity_learns_only_from_learned_folds_and_scores_all(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
 
 
+def test_toxicity_of_a_repeated_id(spark, monkeypatch):
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda bags, label, *rest: (seen.append(len(label)), fit(bags, label, *rest))[1])
+    docs = spark.range(20_000).selectExpr("id % 50 AS doc_id", "concat('word', id % 700, if(id % 50 < 25, ' zorkface', ' fine')) AS text")
+    labels = spark.range(100).selectExpr("id % 50 AS doc_id", "int(id % 50 < 25) AS toxic")
+    model = toxicity.train(docs, labels)
+    assert 30 <= seen[0] <= 50
+    got = toxicity.judged(docs, model).groupBy("doc_id", "predicted").count().collect()
+    assert all(r["predicted"] == int(r["doc_id"] < 25) for r in got)
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(X.docs(spark), none)
