@@ -1,8 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a run of at least ``SHORTEST`` key characters with a digit (with its
-base64 padding), the value given to a credential's name (``password=...``), or the
-password of an address (``://user:...@``); a word may have several, and each is a row.
+base64 padding), the value of at least ``SHORTEST_VALUE`` characters given to a
+credential's name (``password=...``), or the password of an address (``://user:...@``); a word may have several, and each is a row.
 It is described by its
 length, the shares of its kinds of characters, the transitions between kinds,
 the variety of characters, how much of it is covered by dictionary words (the
@@ -25,7 +25,9 @@ words; it is bounded by its size, not by the corpus.
 Defined cases: null and empty texts have no candidates; a document without any
 has no row; an empty table, or one without labels of both kinds, gives the
 candidates with probability null and ``kept`` true (nothing is removed on no
-evidence). Repeated rows give repeated candidates. Extra columns are not read.
+evidence). Repeated rows give repeated candidates. Values, names and words are
+whole however long they are, and a long line takes time in proportion to its length.
+Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -42,7 +44,8 @@ from pyspark.sql import functions as F
 from tablepulse.llm.common import SPACE_RUN, class_sample, filled, held_out
 from tablepulse.session import checkpointed
 
-SHORTEST = 12
+#: characters of a run of key characters, and of a value given to a credential's name, at least
+SHORTEST, SHORTEST_VALUE = 12, 6
 _KEY = r"A-Za-z0-9+/_\-"
 #: a key id, or a run of key characters with a digit
 _RUN = rf"(?:AKIA|ASIA)[0-9A-Z]{{16}}|(?<![{_KEY}])(?=[A-Za-z+/_\-]*+[0-9])[{_KEY}]{{{SHORTEST},}}"
@@ -51,11 +54,11 @@ _PART = r"[\x21-\x7E\p{IsLatin}&&[^\"'`:=,;&?<>()\[\]{}|]]"
 #: a part that has a key, with the padding of base64; a sign that gives a value is no padding
 KEY = rf"(?<!{_PART})(?={_PART}*?(?:{_RUN})){_PART}++(?:={{1,2}}(?![=\"'`]?{_PART}))?"
 #: a credential's name and the sign of assignment, with or without white space at its sides
-_NAMED = r"(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?\\*[\"'`]?\]?\s*[:=]{1,3}>?\s*"
+_NAMED = r"(?i:passw(?:or)?d|passwd|secret|token|api_?key|credential)s?\\*+[\"'`]?\]?\s*+[:=]{1,3}>?\s*+"
 #: a value ends at white space, a quote, or a separator that another assignment follows
-_VALUE = rf"(?![{{]*{_NAMED})(?=[^\s\"'`]{{6}})([^\s\"'`&;,]*+(?:[&;,](?![\w.\-]++[\"'`]?\]?\s*[:=])[^\s\"'`&;,]*+){{0,200}})"
+_VALUE = rf"(?![{{]*+{_NAMED})(?=[^\s\"'`]{{{SHORTEST_VALUE}}})([^\s\"'`&;,]*+(?:[&;,](?![\w.\-]++[\"'`]?\]?\s*+[:=])[^\s\"'`&;,]*+)*+)"
 #: a quoted value is all between its quotes
-_QUOTED = r"[(\[]*(?:\"(?=[^\"]{6})([^\"\\]*+(?:\\.[^\"\\]*+){0,200})\"|'(?=[^']{6})([^'\\]*+(?:\\.[^'\\]*+){0,200})'|`([^`]{6,}+)`)"
+_QUOTED = rf"[(\[]*+(?:\"(?=(?:[^\"\\]|\\.){{{SHORTEST_VALUE}}})([^\"\\]*+(?:\\.[^\"\\]*+)*+)\"|'(?=(?:[^'\\]|\\.){{{SHORTEST_VALUE}}})([^'\\]*+(?:\\.[^'\\]*+)*+)'|`([^`]{{{SHORTEST_VALUE},}}+)`)"
 #: the value given to a credential's name, or the password of an address
 ASSIGNED = rf"{_NAMED}(?:{_QUOTED}|\\*[\"'`]?[(\[<]*{_VALUE}[\"'`]?)"
 _LOGIN = r"://[^\s:/@\"'`]*+:([^\s/\"'`]+)@"
@@ -80,8 +83,9 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, word_no, word (as written), secret (the value), name (what it is given to), before, after:
     one row per candidate, of which a word may have several."""
     lines = docs.select("doc_id", F.posexplode(F.split(filled("text"), "\n", -1)).alias("line_no", "line")).where(F.col("line").rlike(CANDIDATE))
-    # other names may stand apart from the sign that gives them a quoted value, too
-    line = F.regexp_replace("line", r"\s*([:=])\s+(?=[\"'])", "$1")
+    # other names may stand apart from the sign that gives them a quoted value, too (a run of spaces is tried from its start only)
+    lines = lines.withColumn("line", F.regexp_replace("line", r"(?<!\s)\s*+([:=])\s++(?=[\"'])", "$1"))
+    line = F.col("line")
     fields = ["w", "head", "given", "double", "single", "back", "value", "login"]
     groups = {name: F.regexp_extract_all(line, F.lit(_WORD), F.lit(k)) for k, name in enumerate(fields)}
     # as if split at white space, a line that begins with it has an empty first word
@@ -98,12 +102,13 @@ def candidates(docs: DataFrame) -> DataFrame:
     piece = "struct<word:string,secret:string,name:string,assigned:boolean,quoted:boolean>"
 
     def key(match: Column, i: Column) -> Column:
-        # what stands around a key, as far as it may matter
-        left = F.right(F.concat(F.coalesce(F.get("_keys", i - 1), F.lit("")), F.get("_gaps", i)), F.lit(256))
-        right = F.left(F.concat(F.get("_gaps", i + 1), F.coalesce(F.get("_keys", i + 1), F.lit(""))), F.lit(256))
-        around = r"[^\s\"'`,;&{}<>()\[\]|]*"
-        word = F.concat(F.regexp_extract(left, f"{around}$", 0), match, F.regexp_extract(right, f"^{around}", 0))
-        name = F.regexp_extract(left, r"([\w.\-]*)\\*[\"'`]?\]?[:=]+>?[\"'`(\[<{\\]*$", 1)
+        # what stands around a key, back to the key before and on to the key after it
+        left = F.concat(F.coalesce(F.get("_keys", i - 1), F.lit("")), F.get("_gaps", i))
+        right = F.concat(F.get("_gaps", i + 1), F.coalesce(F.get("_keys", i + 1), F.lit("")))
+        # runs are tried from their start only, so that long ones take time in proportion
+        around = r"[^\s\"'`,;&{}<>()\[\]|]"
+        word = F.concat(F.regexp_extract(left, f"(?<!{around}){around}*+$", 0), match, F.regexp_extract(right, f"^{around}*+", 0))
+        name = F.regexp_extract(left, r"(?<![\w.\-])(?:([\w.\-]++)|(?<![:=\\]))\\*+[\"'`]?+\]?+[:=]++>?[\"'`(\[<{\\]*+$", 1)
         quoted = left.rlike("[\"'`]$") | right.rlike("^[\"'`]")
         secret = F.regexp_replace(match, r"[.!%*#$]+$", "")
         return F.struct(word, secret, name, left.rlike(r"[:=]>?[\"'`(\[<{\\]*$"), quoted).cast(piece)
@@ -112,9 +117,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     value = F.when(F.col("_whole") != "", F.col("_whole")).otherwise(F.regexp_replace("value", r"[.,;:?)\]}>\\]+$", ""))
     inner = F.regexp_extract(value, _LOGIN, 1)
     value = F.when(inner != "", inner).otherwise(value)
+    # the pattern begins at the credential's word: what the name has before it is in the head
+    named = F.concat(F.regexp_extract("head", r"(?<![\w.\-])[\w.\-]*+$", 0), F.regexp_extract("given", r"^[\w.\-]*+", 0))
     own = F.when(F.col("login") != "", F.struct("login", "login", F.lit("password"), F.lit(True), F.lit(False)).cast(piece)).when(
         (F.col("_whole") != "") | (F.length("value") >= 6),
-        F.struct(value, value, F.regexp_extract("given", r"^[^:=]*", 0), F.lit(True), F.col("given").rlike("[\"'`]")).cast(piece),
+        F.struct(value, value, named, F.lit(True), F.col("given").rlike("[\"'`]")).cast(piece),
     )
     pieces = F.concat(F.transform("_keys", key), F.filter(F.array(own), lambda x: x.isNotNull()))
     found = found.select("doc_id", "line_no", (F.col("at") + F.col("_indent")).alias("word_no"), "before", "after", F.explode(pieces).alias("_p"))
