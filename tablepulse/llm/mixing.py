@@ -34,7 +34,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablepulse.functions.sequence import with_sequence
@@ -167,14 +167,29 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, cell_units: int = CELL_UNITS) -> DataFrame:
     """The mix itself: each document as often as it is taken, with all its columns."""
-    picks = mixed(docs, weights, most_repeats, cell_units).groupBy("doc_id", "source", "size")
-    picks = picks.agg(F.map_from_entries(F.collect_list(F.struct("copy", "times"))).alias("__times"))
-    picks = picks.select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size")], "__times")
+    key = ["__doc_id", "__source", "__size"]
+    picks = mixed(docs, weights, most_repeats, cell_units).select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "source", "size", "copy", "times")])
+    picks = checkpointed(picks)
+    # a row per key; of a key with one document also how often it is taken
+    keys = checkpointed(picks.groupBy(*key).agg(F.max("__copy").alias("__copies"), F.max("__times").alias("__once")))
     keyed = docs.withColumn("__words", F.regexp_count(filled("text"), F.lit(WORD)).cast("long"))
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
-    keyed = keyed.join(picks, same)
-    single = keyed.where(F.size("__times") == 1).withColumn("__copy", F.lit(1))
-    in_key = Window.partitionBy("__doc_id", "__source", "__size").orderBy("text")
-    several = keyed.where(F.size("__times") > 1).withColumn("__copy", F.row_number().over(in_key))
-    taken = single.unionByName(several).withColumn("__n", F.element_at("__times", F.col("__copy").cast("long")).cast("int"))
-    return taken.where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    keyed = keyed.join(keys, same)
+    single = keyed.where("__copies = 1").withColumn("__n", F.col("__once")).select(*docs.columns, "__n")
+    # documents that share a key are numbered by a sort over all tasks: no task gets all of a key
+    several = keyed.where("__copies > 1").select(*docs.columns, *key)
+    numbered = with_sequence(several, [*[F.col(c).asc_nulls_last() for c in key], F.col("text"), F.rand(0)], "__seq")
+    first = checkpointed(numbered.groupBy(*key).agg(F.min("__seq").alias("__first")))
+    numbered = _by_key(numbered, first, key).withColumn("__copy", F.col("__seq") - F.col("__first") + 1)
+    several = _by_key(numbered, picks.select(*key, "__copy", F.col("__times").alias("__n")), [*key, "__copy"]).select(*docs.columns, "__n")
+    taken = single.unionByName(several).where("__n > 0")
+    return taken.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)
+
+
+def _by_key(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on keys of which some may be null; the right one's keys go."""
+    other = right.select(*[F.col(c).alias(f"{c}_r") if c in keys else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_r"))
+    return left.join(other, same).drop(*[f"{c}_r" for c in keys])

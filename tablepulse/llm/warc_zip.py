@@ -248,11 +248,13 @@ def write_packages(pages: DataFrame, folder: str, least_revisit_bytes: int = LEA
     """Write a record for each page below ``folder`` (seen by all executors); gives uri, records, bytes of each package."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, package, k, done = TaskContext.get().partitionId(), None, 0, []
+        # named by the attempt: a repeated task may get its rows in another order, and must not replace a package of
+        # the first one; the list of packages, written once, says which count
+        part, attempt, package, k, done = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), None, 0, []
         for batch in small_batches(batches, "payload"):
             for row in batch.to_pylist():
                 if package is None:
-                    package = _Package(folder, f"pages-{part:06d}-{k:04d}.wacz")
+                    package = _Package(folder, f"pages-{part:06d}-{attempt:08d}-{k:04d}.wacz")
                 package.add(row["page_id"], make_record(**row))
                 if package.size >= package_bytes or len(package.index) >= PACKAGE_RECORDS:
                     done.append(package.close())
