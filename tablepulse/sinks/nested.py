@@ -11,8 +11,11 @@ give missing fields as null and widen numbers.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,32 +113,43 @@ def align_nested(df: DataFrame, target: T.StructType) -> DataFrame:
 def write_nested(spark: SparkSession, fqn: str, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> T.StructType:
     """Append to a Parquet table in ``path``, whose schema becomes the merge of both; gives that schema.
 
-    A grown schema is put into the catalog first, by entering the table anew over the same files: the files are not
-    touched. A run that dies in between leaves the files complete, and the next call enters the table again: the
-    schema is then merged from the files.
+    A grown schema is noted in ``<path>_schemas`` and then put into the catalog by entering the table anew over the same
+    files, which are not touched. A run that dies in between leaves the files complete and the note behind, from which the
+    next call enters the table again.
     """
-    if spark.catalog.tableExists(fqn):
-        old = spark.table(fqn).schema
-    elif _has_files(spark, path):
-        old = spark.read.option("mergeSchema", "true").parquet(path).schema
-    else:
-        old = T.StructType([])
+    notes = f"{path.rstrip('/')}_schemas"
+    known = spark.catalog.tableExists(fqn)
+    noted = None if known else _noted(spark, notes)
+    old = spark.table(fqn).schema if known else noted if noted is not None else T.StructType([])
     merged = merge_schemas(old, df.schema)
     changed = set(partition_by) & {f.name for f in merged.fields if f.name in old.names and f.dataType != nullable(old[f.name].dataType)}
     if changed:
         raise SchemaConflict(f"partition columns cannot change: {sorted(changed)}")
     merged = T.StructType([f for f in merged.fields if f.name not in partition_by] + [merged[c] for c in partition_by])
-    if not spark.catalog.tableExists(fqn) or nullable(old) != merged:
+    if not known or nullable(old) != merged:
+        note = spark.createDataFrame([(time.time_ns(), merged.json())], "at long, schema string").coalesce(1)
+        note.write.mode("append").json(notes)
         spark.sql(f"DROP TABLE IF EXISTS {fqn}")
         columns = ", ".join(f"`{f.name}` {type_text(f.dataType)}" for f in merged.fields)
         by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
         spark.sql(f"CREATE TABLE {fqn} ({columns}) USING parquet{by} LOCATION '{path}'")
-        if partition_by:
+        if partition_by and (known or noted is not None):
             spark.sql(f"ALTER TABLE {fqn} RECOVER PARTITIONS")
     align_nested(df, merged).write.insertInto(fqn)
     return merged
 
 
+def _noted(spark: SparkSession, notes: str) -> T.StructType | None:
+    """The schema of the last note."""
+    try:
+        last = spark.read.schema("at long, schema string").json(notes).orderBy(F.desc("at")).first()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    return None if last is None else T.StructType.fromJson(json.loads(last["schema"]))
+
+
 def type_text(kind: T.DataType) -> str:
     """A type in SQL, with field names quoted."""
     if isinstance(kind, T.StructType):
@@ -145,13 +159,3 @@ def type_text(kind: T.DataType) -> str:
     if isinstance(kind, T.MapType):
         return f"MAP<{type_text(kind.keyType)}, {type_text(kind.valueType)}>"
     return kind.simpleString()
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-        return bool(found.select("path").take(1))
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise

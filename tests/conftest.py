@@ -17,7 +17,7 @@ def spark():
     s = build_session("local[4]", shuffle_partitions=4, app="tablepulse-tests")
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tablepulse-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablepulse-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
 
