@@ -8,7 +8,6 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablepulse import schemas as S
 from tablepulse.functions.exprs import change_ratio, newest_first, parse_iso_date, partition_key_details, partition_order, str_map
 from tablepulse.operators.results import metric_date_of, metric_rows
 

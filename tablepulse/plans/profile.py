@@ -45,7 +45,7 @@ from tablepulse.operators.uniqueness import pk_duplicates
 from tablepulse.session import checkpointed
 from tablepulse.sinks.storage import append_results
 from tablepulse.sources.scan import scan_partitions
-from tablepulse.sources.stats import history_from_column, latest_snapshot, partition_stats, stats_from_metadata
+from tablepulse.sources.stats import history_from_column, latest_snapshot, stats_from_metadata
 
 MODES = ("availability", "rules", "drift", "all")
 
@@ -142,14 +142,6 @@ def stored_rows(partition_stats: DataFrame, partition_info: DataFrame | None = N
     return out.withColumn("max_ts", F.lit(None).cast("timestamp"))
 
 
-def table_stats(t: TableSpec) -> DataFrame | None:
-    if known_stats(t) is not None:
-        return known_stats(t)
-    if t.partitioning is None:
-        return None
-    return partition_stats(t.df, t.name, t.partitioning)
-
-
 def _is_profiled(t: TableSpec, rules: bool) -> bool:
     return t.partitioning is not None and (known_stats(t) is None or (rules and bool(t.null_columns or t.average_columns)))
 

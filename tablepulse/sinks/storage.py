@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas as S
-from tablepulse.functions.exprs import empty_str_map, lit_ts
+from tablepulse.functions.exprs import empty_str_map
 
 JSON_OPTS = {"ignoreNullFields": "false"}
 

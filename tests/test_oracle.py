@@ -8,8 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tablepulse.plans import oracle, registered
-from conftest import SF001, SF01
+from tablepulse.plans import oracle, oracle_stored, registered, registered_stored
+from conftest import SF01
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 FAST = [
@@ -17,8 +17,10 @@ FAST = [
     "null_ratio_by_partition", "segment_nulls_null_segment", "drift_dod_wow", "drift_with_saved_cuts",
     "policy_all", "batch_text", "write_overwrite_partitions", "run_all", "run_partitions", "sample_by_key", "sample_bernoulli",
     "freshness_history", "partition_stats_metadata", "write_telemetry", "pk_duplicates_approx",
+    "pk_duplicates_stored", "sketch_distinct_ranges", "drift_from_sketches", "run_partition_stored", "alerts_without_snapshots", "rules_asof",
+    "failing_segments", "failing_segments_levels", "write_nested", "store_partition_status",
 ]
-NAMES = list(oracle.SQL) if os.environ.get("TABLEPULSE_FULL_ORACLE") else FAST
+NAMES = list(oracle.SQL | oracle_stored.SQL) if os.environ.get("TABLEPULSE_FULL_ORACLE") else FAST
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +38,7 @@ def _bag(cols, rs):
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    rows_only = set(registered.QUERIES) - set(oracle.SQL)
+    rows_only = set(registered.QUERIES | registered_stored.QUERIES) - set(oracle.SQL | oracle_stored.SQL)
     assert rows_only == set()
     assert set(E.oracle_sql()) <= set(E.queries())
 
