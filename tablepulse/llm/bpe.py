@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tablepulse.llm.common import filled, small_batches
 

@@ -42,8 +42,8 @@ from tablepulse.llm.common import filled, small_batches
 from tablepulse.llm.words import byte_class, split_words
 from tablepulse.session import work_path
 
-SHARD_BYTES = 8 << 20
-ROW_GROUP_BYTES = 32 << 20
+SHARD_BYTES = 4 << 20
+ROW_GROUP_BYTES = 16 << 20
 #: queries of a block, and bytes of their texts
 BLOCK_QUERIES, BLOCK_BYTES = 1024, 4 << 20
 TOP = 50

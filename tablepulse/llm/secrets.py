@@ -41,7 +41,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablepulse.llm.common import SPACE_RUN, class_sample, filled, held_out
+from tablepulse.llm.common import class_sample, filled, held_out
 from tablepulse.session import checkpointed
 
 #: characters of a run of key characters, and of a value given to a credential's name, at least
