@@ -236,7 +236,8 @@ def run_profile(
     every = partition_rows(tables, do("rules"), do("availability"))
     profiled = {t.name for t in tables if _is_profiled(t, do("rules"))}
     if every is not None:
-        every = checkpointed(every)  # one job for all tables
+        # one job for all tables; small frames are put together, as every check would read each of their partitions
+        every = checkpointed(every.hint("rebalance"))
 
     # every check runs once over all tables' rows (table_name keeps them apart), so the plan does not grow with the tables
     keys = {t.name: t.partitioning.column for t in tables if t.partitioning is not None}
