@@ -57,12 +57,15 @@ def pk_duplicates(
         summary = per_key.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("distinct_keys")
         )
-        # the k most repeated keys (ties by key text): k rows that join the summary row by a union
+        # the k most repeated keys (ties by key text): k rows that join the summary row by a union. They go through an
+        # exchange of their own: else the count of all keys is planned into the stage of the union, where one task
+        # may get a whole table
         top = (
             per_key.where(F.col("n") > 1)
             .select(F.struct((-F.col("n")).alias("neg_n"), key_text(key_cols).alias("k")).alias("ex"))
             .orderBy("ex")
             .limit(examples)
+            .repartition(1)
         )
         summary = summary.unionByName(top, allowMissingColumns=True).agg(
             F.max("total").alias("total"),

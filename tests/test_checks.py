@@ -238,6 +238,25 @@ def test_no_nested_loop_join_in_duplicates(spark):
     assert none["passed"] and none["sampled_rows"] == 0
 
 
+def test_examples_of_duplicates_leave_no_key_count_in_the_stage_of_a_union(spark):
+    """The tasks of a union are dealt to its branches by their size, so a table of few MB may get one for all its keys."""
+    df = spark.createDataFrame([(k % 7 + k % 3,) for k in range(100)], "k int")
+    r = pk_duplicates(df, ["k"], "a", examples=2).unionByName(pk_duplicates(df.where("k > 2"), ["k"], "b", examples=2))
+    above, found = [], 0
+    for line in r._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [x for x in above if x[0] < depth]
+        if "TakeOrderedAndProject" in line:
+            found += 1
+            assert any("Exchange" in x for _, x in above)
+        above.append((depth, line))
+    assert found == 2
+    got = {x["table_name"]: (x["sampled_rows"], x["examples"]) for x in r.collect()}
+    n = {k: sum(1 for i in range(100) if i % 7 + i % 3 == k) for k in range(9)}
+    top = lambda keys: [str(k) for k in sorted(keys, key=lambda k: (-n[k], str(k)))[:2]]
+    assert got == {"a": (100, top(range(9))), "b": (sum(n[k] for k in range(3, 9)), top(range(3, 9)))}
+
+
 def test_thousands_of_partitions_plan_as_few_ranges(spark):
     from datetime import date, timedelta
 
