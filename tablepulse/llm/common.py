@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -77,6 +78,22 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: in
             yield batch.slice(start)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """Meanwhile, an Arrow batch that Python is sent ends once it has so many bytes, so that a task's memory does
+    not depend on the rows of its partition. A job has to run inside: the setting is read when it starts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most_bytes))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def class_sample(rows: DataFrame, label: str, key: Column, per_class: int) -> DataFrame:
     """At most ``per_class`` rows of each label, with their ``rank``: those of smallest hash of the key.
 

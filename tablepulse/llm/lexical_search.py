@@ -7,6 +7,11 @@ texts are read, without a shuffle, written to the checkpoint folder, and read by
 all later steps. Statistics of the whole corpus (documents, terms, documents of a
 term) are sums over the shards.
 
+Terms and postings are a few byte strings a shard, which the JVM passes on whole. A
+row group holds one shard, and an Arrow batch ends after a few megabytes, so a task
+holds a few shards or texts whatever the size of its partition. That setting of the
+session holds while a step runs, so each step writes what it finds.
+
 Queries are taken in blocks of bounded size, each broadcast with its terms' weights
 and run against all shards. In a shard, the postings of a query's terms are sorted
 by impact (their part of a score) and read in sequence, no random access: each
@@ -34,16 +39,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse.functions.sequence import with_sequence
-from tablepulse.llm.common import filled, small_batches
+from tablepulse.llm.common import arrow_batches, filled, small_batches
+from tablepulse.llm.shards import buffer_of
 from tablepulse.llm.words import byte_class, split_words
 from tablepulse.session import work_path
 
 SHARD_BYTES = 4 << 20
-ROW_GROUP_BYTES = 16 << 20
+#: a shard is filled with batches of so many parts of its size
+FILL_PARTS = 16
+#: bytes after which an Arrow batch of texts or shards ends
+BATCH_BYTES = 4 << 20
 #: queries of a block, and bytes of their texts
 BLOCK_QUERIES, BLOCK_BYTES = 1024, 4 << 20
 TOP = 50
@@ -62,7 +72,7 @@ _LOWER[0x41:0x5B] += 32
 
 INDEX = (
     "doc_ids array<{id_type}>, lengths binary, n_docs long, n_terms long, "
-    "terms array<binary>, dfs array<int>, docs binary, tfs binary"
+    "terms binary, term_lengths binary, dfs binary, docs binary, tfs binary"
 )
 
 
@@ -74,14 +84,16 @@ def _shard(ids: pa.Array, texts: pa.Array, schema: pa.Schema) -> pa.RecordBatch:
     encoded = words.dictionary_encode()
     n = max(1, len(has))
     term = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    letters, term_bounds = buffer_of(pa.chunked_array([encoded.dictionary]))
     pairs, tfs = np.unique(term * n + np.repeat(np.cumsum(lengths > 0) - 1, lengths), return_counts=True)
     values = {
         "doc_ids": [ids.take(pa.array(has)).to_pylist()],
         "lengths": [lengths[has].astype("<i8").tobytes()],
         "n_docs": [len(has)],
         "n_terms": [len(words)],
-        "terms": [encoded.dictionary.to_pylist()],
-        "dfs": [np.bincount(pairs // n, minlength=len(encoded.dictionary)).astype(np.int32)],
+        "terms": [letters.tobytes()],
+        "term_lengths": [np.diff(term_bounds).astype("<i4").tobytes()],
+        "dfs": [np.bincount(pairs // n, minlength=len(encoded.dictionary)).astype("<i4").tobytes()],
         "docs": [(pairs % n).astype("<i4").tobytes()],
         "tfs": [tfs.astype("<i4").tobytes()],
     }
@@ -95,12 +107,11 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, schema = [], 0, None
-        for batch in small_batches(batches, "text", shard_bytes):
+        for batch in small_batches(batches, "text", shard_bytes // FILL_PARTS):
             if schema is None:
-                kinds = {"doc_ids": pa.list_(batch.schema.field("doc_id").type), "terms": pa.list_(pa.binary()), "dfs": pa.list_(pa.int32())}
-                kinds |= dict.fromkeys(("lengths", "docs", "tfs"), pa.binary()) | dict.fromkeys(("n_docs", "n_terms"), pa.int64())
-                names = ["doc_ids", "lengths", "n_docs", "n_terms", "terms", "dfs", "docs", "tfs"]
-                schema = pa.schema([(n, kinds[n]) for n in names])
+                kinds = {"doc_ids": pa.list_(batch.schema.field("doc_id").type)} | dict.fromkeys(("n_docs", "n_terms"), pa.int64())
+                names = ["doc_ids", "lengths", "n_docs", "n_terms", "terms", "term_lengths", "dfs", "docs", "tfs"]
+                schema = pa.schema([(n, kinds.get(n, pa.binary())) for n in names])
             n = batch.column("text").nbytes
             if held and size + n > shard_bytes:
                 yield _shard(*_joined(held), schema)
@@ -111,8 +122,10 @@ def build_index(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
             yield _shard(*_joined(held), schema)
 
     out = work_path(docs.sparkSession, "lexical_index")
-    # rows are megabytes long: small row groups, as a reader holds one
-    texts.mapInArrow(run, INDEX.format(id_type=id_type)).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(out)
+    # rows are megabytes long, and a writer or reader holds a row group
+    index = texts.mapInArrow(run, INDEX.format(id_type=id_type)).write.option("parquet.block.row.count.limit", 1)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        index.parquet(out)
     return docs.sparkSession.read.parquet(out)
 
 
@@ -174,28 +187,49 @@ def nra(lists: list[tuple[np.ndarray, np.ndarray]], n_docs: int, k: int, least:
         read, depth = depth, DEEPER * depth
 
 
+def _bounds(lengths: pa.Scalar) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.frombuffer(lengths.as_buffer(), "<i4"), dtype=np.int64)])
+
+
+def _known(row: dict[str, pa.Scalar], terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of a shard's terms are among ``terms``, where they are there, and where the postings of each of the shard's terms begin."""
+    bounds = _bounds(row["term_lengths"])
+    own = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), row["terms"].as_buffer()])
+    at = pc.fill_null(pc.index_in(own, value_set=terms), -1).to_numpy(zero_copy_only=False)
+    known = np.flatnonzero(at >= 0)
+    return known, at[known], _bounds(row["dfs"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(c)[i] for c in batch.schema.names}
+
+
 class Shard:
     """A row of the index, with the postings of some terms sorted by impact."""
 
-    def __init__(self, row: dict[str, object], weights: dict[bytes, int], n_docs: int, n_terms: int):
-        self.ids = row["doc_ids"]
-        lengths = np.frombuffer(row["lengths"], "<i8")
+    def __init__(self, row: dict[str, pa.Scalar], terms: pa.Array, weights: np.ndarray, n_docs: int, n_terms: int):
+        self.ids = row["doc_ids"].values
+        lengths = np.frombuffer(row["lengths"].as_buffer(), "<i8")
         m = 100 - 50 + (50 * lengths * n_docs) // n_terms
-        bounds = np.concatenate([[0], np.cumsum(row["dfs"])]).astype(np.int64)
-        docs, tfs = np.frombuffer(row["docs"], "<i4"), np.frombuffer(row["tfs"], "<i4").astype(np.int64)
-        self.lists: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-        for i, term in enumerate(row["terms"]):
-            if weight := weights.get(term):
+        known, at, bounds = _known(row, terms)
+        docs, tfs = np.frombuffer(row["docs"].as_buffer(), "<i4"), np.frombuffer(row["tfs"].as_buffer(), "<i4")
+        #: by a term's place in terms
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for i, term in zip(known.tolist(), at.tolist(), strict=True):
+            if weight := int(weights[term]):
                 part = slice(bounds[i], bounds[i + 1])
-                impacts = weight * ((SCALE * tfs[part]) // (1000 * tfs[part] + 20 * m[docs[part]]))
+                tf = tfs[part].astype(np.int64)
+                impacts = weight * ((SCALE * tf) // (1000 * tf + 20 * m[docs[part]]))
                 order = np.argsort(-impacts, kind="stable")
                 self.lists[term] = docs[part][order], impacts[order]
 
-    def search(self, terms: list[bytes], best: Best) -> None:
+    def search(self, terms: list[int], best: Best) -> None:
         lists = [self.lists[t] for t in terms if t in self.lists]
         if lists:
             found, scores = nra(lists, len(self.ids), best.k, best.least)
-            best.add(scores.tolist(), [self.ids[i] for i in found])
+            best.add(scores.tolist(), self.ids.take(pa.array(found)).to_pylist())
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -238,12 +272,8 @@ def search(
     schema = f"query long, doc_id {id_type}, score long"
     totals = index.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_terms").alias("n_terms")).first()
     n_docs, n_terms = totals["n_docs"] or 0, totals["n_terms"] or 0
-    found = None
-    for block in _blocks(queries, most_queries, most_bytes):
-        part = _search_block(index, block, n_docs, n_terms, top, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], schema)
+    found = [_search_block(index, block, n_docs, n_terms, top, schema) for block in _blocks(queries, most_queries, most_bytes)]
+    found = spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     some = Window.partitionBy("query", "_group").orderBy(*order)
     ranked = found.withColumn("_group", F.spark_partition_id() % RANK_GROUPS).withColumn("_rank", F.row_number().over(some)).where(F.col("_rank") <= top)
@@ -251,30 +281,47 @@ def search(
     return ranked.join(queries.select("query", "item_id"), "query").select("item_id", "rank", "doc_id", "score")
 
 
-def _search_block(index: DataFrame, block: list[tuple[int, list[bytes]]], n_docs: int, n_terms: int, top: int, schema: str) -> DataFrame:
-    """query, doc_id, score: the ``top`` best of each task for each query of the block."""
+def _search_block(index: DataFrame, block: list[tuple[int, list[bytes]]], n_docs: int, n_terms: int, top: int, schema: str) -> str:
+    """Where query, doc_id, score are written: the ``top`` best of each task for each query of the block."""
     spark = index.sparkSession
-    terms = spark.createDataFrame([(bytearray(t),) for t in sorted({t for _, ts in block for t in ts})], "term binary")
     # a block's terms are bounded by the block's bytes
-    counts = index.select(F.explode(F.arrays_zip("terms", "dfs")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.dfs").alias("df"))
-    df = counts.join(F.broadcast(terms), "term").groupBy("term").agg(F.sum("df").alias("df"))
+    terms = sorted({t for _, ts in block for t in ts})
+    place = {t: i for i, t in enumerate(terms)}
+    asked = [(query, [place[t] for t in ts]) for query, ts in block]
+    shared_terms = spark.sparkContext.broadcast(terms)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = pa.array(shared_terms.value, pa.large_binary())
+        total = np.zeros(len(values), np.int64)
+        for row in _rows(batches):
+            known, at, bounds = _known(row, values)
+            total[at] += np.diff(bounds)[known]
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["place", "df"])
+
+    df = index.select("terms", "term_lengths", "dfs").mapInArrow(count, "place long, df long").groupBy("place").agg(F.sum("df").alias("df"))
     weight = F.floor(LOG_SCALE * F.log((2.0 * n_docs + 2) / (2.0 * F.col("df") + 1))).cast("long")
-    weights = {bytes(r["term"]): r["weight"] for r in df.select("term", weight.alias("weight")).collect()}
-    shared = spark.sparkContext.broadcast((block, weights))
+    weights = np.zeros(len(terms), np.int64)
+    with arrow_batches(spark, BATCH_BYTES):
+        for r in df.select("place", weight.alias("weight")).collect():
+            weights[r["place"]] = r["weight"]
+    shared = spark.sparkContext.broadcast((asked, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, weight_of = shared.value
-        best = {query: Best(top) for query, _ in asked}
+        values, (queries, weight_of) = pa.array(shared_terms.value, pa.large_binary()), shared.value
+        best = {query: Best(top) for query, _ in queries}
         id_type = pa.int64()
-        for batch in batches:
-            id_type = batch.schema.field("doc_ids").type.value_type
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                shard = Shard(row, weight_of, n_docs, n_terms)
-                for query, ts in asked:
-                    shard.search(ts, best[query])
+        for row in _rows(batches):
+            id_type = row["doc_ids"].type.value_type
+            shard = Shard(row, values, weight_of, n_docs, n_terms)
+            for query, ts in queries:
+                shard.search(ts, best[query])
         out = [(q, None if null else i, -s) for q, b in best.items() for s, null, i in b.rows]
         columns = [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], id_type), pa.array([r[2] for r in out], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["query", "doc_id", "score"])
 
-    return index.select("doc_ids", "lengths", "terms", "dfs", "docs", "tfs").mapInArrow(run, schema)
+    out = work_path(spark, "lexical_found")
+    found = index.select("doc_ids", "lengths", "terms", "term_lengths", "dfs", "docs", "tfs").mapInArrow(run, schema)
+    with arrow_batches(spark, BATCH_BYTES):
+        found.write.parquet(out)
+    return out

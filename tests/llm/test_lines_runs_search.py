@@ -3,12 +3,14 @@
 import math
 import random
 import re
+import uuid
 import zlib
 from fractions import Fraction
 
 import fixtures as X
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from tablepulse.llm import lexical_search, line_dedup, periodic_runs
@@ -254,6 +256,47 @@ def test_search_repeated_queries_and_empty_tables(spark):
     assert lexical_search.search(lexical_search.build_index(X.empty(spark)), twice).count() == 0
 
 
+def test_search_holds_a_few_shards_of_a_partition(spark, monkeypatch, tmp_path):
+    """Whatever a partition holds, a task is sent and writes a bounded part of it at a time."""
+
+    def noted(name, sizes):
+        with open(tmp_path / f"{name}{uuid.uuid4().hex}", "w") as f:
+            f.write("\n".join(map(str, sizes)))
+
+    def batches_of(name):
+        def batches(given, *_, cut=lexical_search.small_batches):
+            sizes = []
+            for batch in given:
+                sizes.append(batch.nbytes)
+                yield from cut(iter([batch]), "text", 3000) if name == "texts" else ({c: batch.column(c)[i] for c in batch.schema.names} for i in range(batch.num_rows))
+            noted(name, sizes)
+
+        return batches
+
+    monkeypatch.setattr(lexical_search, "BATCH_BYTES", 50_000, raising=False)
+    monkeypatch.setattr(lexical_search, "small_batches", batches_of("texts"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    r = random.Random(6)
+    texts = [(k, " ".join(f"t{r.randrange(3000)}" for _ in range(300))) for k in range(600)]
+    index = lexical_search.build_index(frame(spark, texts).repartition(1), 30_000)
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert index.count() > 20
+    assert {m.row_group(g).num_rows for m in groups for g in range(m.num_row_groups)} == {1}
+    monkeypatch.undo()
+    monkeypatch.setattr(lexical_search, "BATCH_BYTES", 50_000, raising=False)
+    monkeypatch.setattr(lexical_search, "_rows", batches_of("shards"), raising=False)
+    items = spark.createDataFrame([(1, "t1 t2 t3"), (2, "t17")], "item_id long, text string")
+    found = lexical_search.search(index, items, 5)
+    assert sorted(map(tuple, found.collect())) == sorted(search_by_hand(texts, [(1, "t1 t2 t3"), (2, "t17")], 5))
+    for name in ("texts", "shards"):
+        sizes = [int(x) for f in tmp_path.glob(f"{name}*") for x in f.read_text().split()]
+        assert len(sizes) > 10
+        # a batch ends after the row that brings it over the limit
+        assert max(sizes) < 120_000
+    assert spark.conf.get(key) == before
+
+
 def test_nra_gives_all_of_the_best_and_exact_scores():
     r = np.random.default_rng(2)
     for _ in range(200):
